@@ -25,7 +25,9 @@ def behavior(
     from ``recent_from`` on, and the histogram of severities, so the monthly
     table is read and shuffled once, after combining in each task.
     """
-    level = map_values(status, severity)
+    # The label is looked up once per row, below the aggregate.
+    levelled = df.select(key, month, map_values(status, severity).alias("level"))
+    level = F.col("level")
     recent = F.when(F.col(month) >= recent_from, level)
     measures: dict[str, Column] = {
         "max_dpd": F.max(level),
@@ -39,4 +41,4 @@ def behavior(
         "recent_avg_dpd": F.avg(recent),
     }
     measures |= {f"dpd_{i}": F.count_if(level == i) for i in range(SEVERITY_LEVELS)}
-    return df.groupBy(key).agg(*[m.alias(name) for name, m in measures.items()])
+    return levelled.groupBy(key).agg(*[m.alias(name) for name, m in measures.items()])

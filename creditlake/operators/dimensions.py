@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,10 @@ _PLACE_BITS = 33
 
 @dataclass(frozen=True)
 class Dimension:
-    """A staged table whose rows carry consecutive keys from 0."""
+    """A staged table whose rows carry consecutive keys from 0.
+
+    ``size`` is what a lookup needs of it, key and natural key, in bytes.
+    """
 
     frame: DataFrame
     key: str
@@ -50,11 +54,16 @@ def create_dimension(df: DataFrame, columns: Sequence[str], key: str) -> Dimensi
     rows get the same keys whatever the partitioning.
     """
     counted = df.groupBy(*columns).agg(F.count("*").alias(_ROWS))
-    staged, rows, size = _number(counted, key, columns)
-    total = staged.agg(F.sum(_ROWS)).scalar()
-    frequent = staged.filter(F.col(_ROWS) > total * HOT_SHARE)
-    frame = staged.select(key, *columns)
-    return Dimension(frame, key, tuple(columns), rows, size, frequent.select(key, *columns))
+    numbered = _number(counted, key, columns, columns, weight=F.col(_ROWS))
+    frequent = numbered.frame.filter(F.col(_ROWS) > numbered.weight * HOT_SHARE)
+    return Dimension(
+        numbered.frame.select(key, *columns),
+        key,
+        tuple(columns),
+        numbered.rows,
+        numbered.size,
+        frequent.select(key, *columns),
+    )
 
 
 def add_key(
@@ -64,8 +73,11 @@ def add_key(
 
     ``order_by`` must be unique, or the order of equal rows is open.
     """
-    numbered, rows, size = _number(df, key, order_by)
-    return Dimension(key_first(numbered, [key]), key, tuple(natural_key or order_by), rows, size)
+    columns = tuple(natural_key or order_by)
+    numbered = _number(df, key, order_by, columns)
+    return Dimension(
+        key_first(numbered.frame, [key]), key, columns, numbered.rows, numbered.size
+    )
 
 
 def attach_key(
@@ -105,8 +117,25 @@ def attach_key(
     return joined.select(*df.columns, found)
 
 
-def _number(df: DataFrame, key: str, order_by: Sequence[str]) -> tuple[DataFrame, int, int]:
-    """``df`` with its 0-based position as ``key``; its row count and size in bytes."""
+class _Numbered(NamedTuple):
+    frame: DataFrame
+    rows: int
+    size: int
+    weight: int
+
+
+def _number(
+    df: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    columns: Sequence[str],
+    weight: Column | None = None,
+) -> _Numbered:
+    """``df`` with its 0-based position as ``key``, and its totals.
+
+    The totals are the row count, the bytes of key and ``columns``, and the sum
+    of ``weight``.
+    """
     ordered = df.orderBy(*[F.asc_nulls_first(c) for c in order_by])
     staged = stage(ordered.withColumn(_PLACE, F.monotonically_increasing_id()))
     part = F.shiftright(_PLACE, _PLACE_BITS)
@@ -115,7 +144,11 @@ def _number(df: DataFrame, key: str, order_by: Sequence[str]) -> tuple[DataFrame
     # One line per partition of the sort, never per row.
     parts = (
         staged.groupBy(part.cast("int").alias("part"))
-        .agg(F.count("*").alias("rows"), F.sum(_row_size(staged)).alias("size"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.sum(_row_size(staged.select(*columns))).alias("size"),
+            F.sum(F.lit(1) if weight is None else weight).alias("weight"),
+        )
         .collect()
     )
     counts = {p["part"]: p["rows"] for p in parts}
@@ -127,10 +160,11 @@ def _number(df: DataFrame, key: str, order_by: Sequence[str]) -> tuple[DataFrame
     # of the staged table stays exact and no join is needed.
     start = F.split(F.lit(",".join(map(str, starts or [0]))), ",").cast("array<bigint>")
     position = F.get(start, part.cast("int")) + within
-    return (
+    return _Numbered(
         staged.select(*df.columns, position.alias(key)),
         total,
         sum(p["size"] for p in parts),
+        sum(p["weight"] for p in parts),
     )
 
 

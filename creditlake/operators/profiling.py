@@ -76,21 +76,25 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """``(bin, low, high, rows)`` for ``bins`` equal widths; the maximum is in the last."""
-    value = F.col(column).cast("double")
-    values = df.select(value.alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    low = values.agg(F.min("v")).scalar()
-    width = values.agg((F.max("v") - F.min("v")) / bins).scalar()
-    place = F.least(F.floor(F.try_divide(F.col("v") - low, width)), F.lit(bins - 1))
+    """``(bin, low, high, rows)`` for ``bins`` equal widths; the maximum is in the last.
+
+    The range is looked up when the histogram is made, as one row.
+    """
+    values = _present(df, column)
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    if low is None:
+        raise ValueError(f"no values in {column}")
     # With a single value the width is 0 and everything is in the first bin.
-    counted = values.groupBy(F.coalesce(place, F.lit(0)).cast("int").alias("bin")).agg(
+    width = (high - low) / bins
+    place = F.floor((F.col("v") - low) / width) if width else F.lit(0)
+    counted = values.groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin")).agg(
         F.count("*").alias("rows")
     )
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return every.join(counted, "bin", "left").select(
+    return every.join(F.broadcast(counted), "bin", "left").select(
         "bin",
-        (low + F.col("bin") * width).alias("low"),
-        (low + (F.col("bin") + 1) * width).alias("high"),
+        (F.lit(low) + F.col("bin") * width).alias("low"),
+        (F.lit(low) + (F.col("bin") + 1) * width).alias("high"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
     )
 
@@ -181,9 +185,8 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
     of the box.
     """
     box = quantiles(df, [column]).toDF("column", "values", "q25", "q50", "q75")
-    # Exactly one row, next to every value.
-    values = df.select(F.lit(column).alias("column"), F.col(column).cast("double").alias("v"))
-    values = values.filter("v IS NOT NULL AND NOT isnan(v)")
+    # The box is exactly one row.
+    values = _present(df, column).withColumn("column", F.lit(column))
     reach = WHISKER * (F.col("q75") - F.col("q25"))
     inside = (F.col("v") >= F.col("q25") - reach) & (F.col("v") <= F.col("q75") + reach)
     return (
@@ -195,3 +198,8 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
             F.count_if(~inside).alias("outliers"),
         )
     )
+
+
+def _present(df: DataFrame, column: str) -> DataFrame:
+    values = df.select(F.col(column).cast("double").alias("v"))
+    return values.filter(F.col("v").isNotNull() & ~F.isnan("v"))

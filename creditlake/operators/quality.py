@@ -66,23 +66,37 @@ def quality_check(
     keys: Sequence[str] | None = None,
     limit: float = DAY_LIMIT,
 ) -> tuple[DataFrame, DataFrame]:
-    """The cleaned table and its report; nothing runs until one of them is used.
+    """The cleaned table and its report; nothing runs until one of them is used."""
+    return quality_clean(df, keys, limit), quality_report(df, name, keys, limit)
 
-    Cleaning removes duplicates and then sets day values over ``limit`` to
-    NULL. The report ``(table, check, column, value)`` counts duplicates in the
-    input, then missing values and outliers among the rows that are kept,
-    before outliers are removed. It needs one shuffle of its own.
+
+def quality_clean(
+    df: DataFrame, keys: Sequence[str] | None = None, limit: float = DAY_LIMIT
+) -> DataFrame:
+    """``df`` without duplicates and with day values over ``limit`` set to NULL."""
+    return null_above(dedup(df, keys), columns_like(df, "days"), limit)
+
+
+def quality_report(
+    df: DataFrame,
+    name: str,
+    keys: Sequence[str] | None = None,
+    limit: float = DAY_LIMIT,
+) -> DataFrame:
+    """``(table, check, column, value)``: what cleaning ``df`` finds.
+
+    Counts duplicates in the input, then missing values and outliers among the
+    rows that are kept, before outliers are removed. All counts come from one
+    pass with one shuffle.
     """
-    days = columns_like(df, "days")
-    clean = null_above(dedup(df, keys), days, limit)
     if keys:
-        kept = _smallest(df, keys)
-        kept = _unpack(df, keys, kept, _COPIES)
+        kept = _unpack(df, keys, _smallest(df, keys), _COPIES)
     else:
         kept = df.groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
 
     counts: list[tuple[str, str | None, Column]] = [("duplicates", None, _surplus())]
     counts += [("missing", f.name, F.count_if(is_missing(f))) for f in df.schema.fields]
+    days = columns_like(df, "days")
     counts += [("outliers", c, F.count_if(F.col(c) > limit)) for c in days]
     wide = kept.agg(*[count.alias(f"c{i}") for i, (_, _, count) in enumerate(counts)])
     lines = [
@@ -94,7 +108,7 @@ def quality_check(
         )
         for i, (check, column, _) in enumerate(counts)
     ]
-    return clean, wide.select(F.inline(F.array(*lines)))
+    return wide.select(F.inline(F.array(*lines)))
 
 
 def _smallest(

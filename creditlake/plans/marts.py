@@ -42,7 +42,7 @@ def previous_summary(previous: DataFrame) -> DataFrame:
         prev_avg_down_payment=F.avg("amt_down_payment"),
     )
     refused = rate("prev_refused_apps", "prev_total_apps")
-    return fill_zero(counted.withColumn("prev_refusal_rate", refused))
+    return counted.withColumn("prev_refusal_rate", F.coalesce(refused, F.lit(0)))
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def payment_summary(payments: DataFrame) -> DataFrame:
         pay_total_paid_amt=F.sum("amt_payment"),
     )
     tardy = rate("pay_late_installments", "pay_total_installments")
-    return fill_zero(counted.withColumn("pay_late_rate", tardy))
+    return counted.withColumn("pay_late_rate", F.coalesce(tardy, F.lit(0)))
 
 
 def mart_master(
@@ -85,4 +85,8 @@ def mart_master(
 
 
 def _per_customer(df: DataFrame, **measures: Column) -> DataFrame:
-    return fill_zero(df.groupBy(CUSTOMER).agg(*[m.alias(n) for n, m in measures.items()]))
+    # The key is left as it is: a filled key would hide that the rows are
+    # already partitioned by customer.
+    return df.groupBy(CUSTOMER).agg(
+        *[F.coalesce(m, F.lit(0)).alias(n) for n, m in measures.items()]
+    )

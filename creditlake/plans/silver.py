@@ -28,7 +28,7 @@ from creditlake.functions.scalars import (
     rate,
     safe_ratio,
 )
-from creditlake.operators.quality import dedup, quality_check
+from creditlake.operators.quality import dedup, quality_clean, quality_report
 from creditlake.settings import ANCHOR_DATE, INSURED_LABELS, STATUS_LABELS
 
 Tables = dict[str, DataFrame]
@@ -170,10 +170,9 @@ def silver_previous_application(
 def _checked(
     df: DataFrame, name: str, reports: list[DataFrame] | None, keys: list[str] | None = None
 ) -> DataFrame:
-    clean, report = quality_check(df, name, keys)
     if reports is not None:
-        reports.append(report)
-    return clean
+        reports.append(quality_report(df, name, keys))
+    return quality_clean(df, keys)
 
 
 def _date_columns(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditlake.functions.columns import columns_like, null_above
@@ -71,10 +71,24 @@ def quality_check(
 
 
 def quality_clean(
-    df: DataFrame, keys: Sequence[str] | None = None, limit: float = DAY_LIMIT
+    df: DataFrame,
+    keys: Sequence[str] | None = None,
+    limit: float = DAY_LIMIT,
+    audit: Observation | None = None,
 ) -> DataFrame:
-    """``df`` without duplicates and with day values over ``limit`` set to NULL."""
-    return null_above(dedup(df, keys), columns_like(df, "days"), limit)
+    """``df`` without duplicates and with day values over ``limit`` set to NULL.
+
+    With ``audit`` the counts of the report are taken along when the result is
+    written, at no pass of their own; :func:`audit_report` then reads them. The
+    result must be written without another shuffle in between, because only the
+    tasks of a job's last stage are sure to be counted once.
+    """
+    days = columns_like(df, "days")
+    if audit is None:
+        return null_above(dedup(df, keys), days, limit)
+    counts = [c.alias(":".join(name)) for name, c in _counts(df, limit).items()]
+    kept = _kept(df, keys).observe(audit, *counts)
+    return null_above(kept.drop(_COPIES), days, limit)
 
 
 def quality_report(
@@ -89,28 +103,45 @@ def quality_report(
     rows that are kept, before outliers are removed. All counts come from one
     pass with one shuffle.
     """
-    if keys:
-        kept = _unpack(df, keys, _smallest(df, keys), _COPIES)
-    else:
-        kept = df.groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
-
-    counts: list[tuple[str, str | None, Column]] = [("duplicates", None, _surplus())]
-    counts += [("missing", f.name, F.count_if(is_missing(f))) for f in df.schema.fields]
-    days = columns_like(df, "days")
-    counts += [("outliers", c, F.count_if(F.col(c) > limit)) for c in days]
-    wide = kept.agg(*[count.alias(f"c{i}") for i, (_, _, count) in enumerate(counts)])
+    counts = _counts(df, limit)
+    wide = _kept(df, keys).agg(*[c.alias(f"c{i}") for i, c in enumerate(counts.values())])
     lines = [
         F.struct(
             F.lit(name).alias("table"),
             F.lit(check).alias("check"),
-            F.lit(column).cast("string").alias("column"),
+            F.lit(column or None).cast("string").alias("column"),
             F.col(f"c{i}").alias("value"),
         )
-        for i, (check, column, _) in enumerate(counts)
+        for i, (check, column) in enumerate(counts)
     ]
     return wide.select(F.inline(F.array(*lines)))
 
 
+def audit_report(spark: SparkSession, audits: Mapping[str, Observation]) -> DataFrame:
+    """The report of tables that were cleaned with an audit and written."""
+    lines = []
+    for table, audit in audits.items():
+        for name, value in audit.get.items():
+            check, column = name.split(":", 1)
+            lines.append((table, check, column or None, value))
+    return spark.createDataFrame(lines, "table string, check string, column string, value bigint")
+
+
+def _counts(df: DataFrame, limit: float) -> dict[tuple[str, str], Column]:
+    """The counts of a report by check and column, over kept rows with their copies."""
+    counts = {("duplicates", ""): _surplus()}
+    counts |= {("missing", f.name): F.count_if(is_missing(f)) for f in df.schema.fields}
+    days = columns_like(df, "days")
+    return counts | {("outliers", c): F.count_if(F.col(c) > limit) for c in days}
+
+
+def _kept(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+    """The rows that cleaning keeps, each with its number of copies."""
+    if keys:
+        return _unpack(df, keys, _smallest(df, keys), _COPIES)
+    return df.groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
+
+
 def _smallest(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import DataFrame
 
 from creditlake.functions.columns import columns_with_prefix, lower_columns
+from creditlake.jobs import together
 from creditlake.operators.behavior import behavior
 from creditlake.operators.dimensions import Dimension, add_key, attach_key, create_dimension
 from creditlake.plans import stars
@@ -110,10 +111,15 @@ def build_star(
         fact_columns += [k for k in keys.values() if k not in fact_columns]
 
     # Only the dimensions that are asked for, or whose key the fact carries.
-    for table, (key, natural) in star.dimensions.items():
-        if only is None or table in only or (with_fact and key in fact_columns):
-            columns = _natural_key(df, natural, skip_missing)
-            ready[table] = create_dimension(df, columns, key)
+    needed = {
+        table: (key, _natural_key(df, natural, skip_missing))
+        for table, (key, natural) in star.dimensions.items()
+        if only is None or table in only or (with_fact and key in fact_columns)
+    }
+    made = together(
+        [lambda c=c, key=key: create_dimension(df, c, key) for key, c in needed.values()]
+    )
+    ready |= dict(zip(needed, made))
 
     tables = _chosen({t: ready[t].frame for t in keys if t in ready}, only)
     if with_fact:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from creditlake.jobs import AT_ONCE, together
+from creditlake.operators.quality import audit_report
 from creditlake.plans import gold, marts, silver
 from creditlake.settings import SOURCE_FILES
 from creditlake.sources.csv import load_all
@@ -26,7 +26,7 @@ def build_layers(
     layers: Collection[str] = LAYERS,
     files: Sequence[str] = SOURCE_FILES,
     audit: bool = True,
-    at_once: int = 3,
+    at_once: int = AT_ONCE,
     keep_staging: bool = False,
 ) -> DataFrame | None:
     """Build the chosen layers in order and return the load report.
@@ -39,7 +39,7 @@ def build_layers(
     """
     report = None
     if "bronze" in layers:
-        report = load_all(spark, source, bronze, files)
+        report = load_all(spark, source, bronze, files, at_once)
         failed = report.filter("status = 'failed'").select("table").collect()
         if failed:
             raise RuntimeError(f"not loaded: {', '.join(r['table'] for r in failed)}")
@@ -54,27 +54,29 @@ def build_layers(
     return report
 
 
-def build_silver(bronze: Layer, target: Layer, audit: bool = True, at_once: int = 3) -> None:
-    """All silver tables from the bronze ones."""
+def build_silver(
+    bronze: Layer, target: Layer, audit: bool = True, at_once: int = AT_ONCE
+) -> None:
+    """All silver tables from the bronze ones, and the report of what was cleaned."""
     read = bronze.read
-    reports: list[DataFrame] | None = [] if audit else None
+    audits: silver.Audits = {} if audit else None
     built = [
         silver.silver_application(
-            read("application_train"), read("application_test"), reports=reports
+            read("application_train"), read("application_test"), audits=audits
         ),
-        silver.silver_bureau(read("bureau"), reports=reports),
-        silver.silver_bureau_balance(read("bureau_balance"), reports=reports),
-        silver.silver_credit_card_balance(read("credit_card_balance"), reports=reports),
-        silver.silver_pos_cash_balance(read("POS_CASH_balance"), reports=reports),
-        silver.silver_installments(read("installments_payments"), reports=reports),
-        silver.silver_previous_application(read("previous_application"), reports=reports),
+        silver.silver_bureau(read("bureau"), audits=audits),
+        silver.silver_bureau_balance(read("bureau_balance"), audits=audits),
+        silver.silver_credit_card_balance(read("credit_card_balance"), audits=audits),
+        silver.silver_pos_cash_balance(read("POS_CASH_balance"), audits=audits),
+        silver.silver_installments(read("installments_payments"), audits=audits),
+        silver.silver_previous_application(read("previous_application"), audits=audits),
     ]
-    if reports:
-        built.append({"quality_report": reduce(DataFrame.unionByName, reports)})
-    _together([lambda tables=tables: target.publish(tables) for tables in built], at_once)
+    together([lambda tables=tables: target.publish(tables) for tables in built], at_once)
+    if audits:
+        target.write(audit_report(bronze.spark, audits), "quality_report")
 
 
-def build_gold(source: Layer, target: Layer, at_once: int = 3) -> None:
+def build_gold(source: Layer, target: Layer, at_once: int = AT_ONCE) -> None:
     """All dimensions and facts from the silver tables."""
     read = source.read
     jobs = [
@@ -85,10 +87,10 @@ def build_gold(source: Layer, target: Layer, at_once: int = 3) -> None:
         lambda: gold.gold_previous_applications(read("previous_application")),
         lambda: gold.gold_pos_cash_balance(read("pos_cash_balance")),
     ]
-    _together([lambda job=job: target.publish(job()) for job in jobs], at_once)
+    together([lambda job=job: target.publish(job()) for job in jobs], at_once)
 
 
-def build_marts(source: Layer, target: Layer, at_once: int = 3) -> None:
+def build_marts(source: Layer, target: Layer, at_once: int = AT_ONCE) -> None:
     """The three summaries from silver, then the wide table from all of them."""
     read = source.read
     summaries = {
@@ -96,16 +98,10 @@ def build_marts(source: Layer, target: Layer, at_once: int = 3) -> None:
         "mart_previous_app_summary": lambda: marts.previous_summary(read("previous_application")),
         "mart_payment_behavior": lambda: marts.payment_summary(read("installments_payments")),
     }
-    _together(
+    together(
         [lambda t=t, job=job: target.write(job(), t) for t, job in summaries.items()], at_once
     )
     master = marts.mart_master(
         read("application"), read("application_target"), *[target.read(t) for t in summaries]
     )
     target.write(master, "mart_master")
-
-
-def _together(jobs: Sequence[Callable[[], object]], at_once: int) -> None:
-    with ThreadPoolExecutor(at_once) as pool:
-        for done in [pool.submit(job) for job in jobs]:
-            done.result()

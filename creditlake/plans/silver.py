@@ -1,7 +1,7 @@
 """Silver jobs: each takes bronze tables and returns the cleaned tables by name.
 
-With ``reports`` (a list) given, the quality report of every checked table is
-appended to it; the caller decides whether to run it.
+With ``audits`` given, every checked table puts an observation into it, which
+holds the counts of its quality report once the table is written.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from creditlake.functions.columns import (
     cast_columns,
@@ -28,10 +28,11 @@ from creditlake.functions.scalars import (
     rate,
     safe_ratio,
 )
-from creditlake.operators.quality import dedup, quality_clean, quality_report
+from creditlake.operators.quality import dedup, quality_clean
 from creditlake.settings import ANCHOR_DATE, INSURED_LABELS, STATUS_LABELS
 
 Tables = dict[str, DataFrame]
+Audits = dict[str, Observation] | None
 
 # Date column <- day offset.
 APPLICATION_DATES = {
@@ -71,12 +72,12 @@ def silver_application(
     train: DataFrame,
     test: DataFrame,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
-    reports: list[DataFrame] | None = None,
+    audits: Audits = None,
 ) -> Tables:
     """All applications, one per customer, and the label of the labelled ones."""
     target, features = split_target(lower_columns(train), "sk_id_curr", "target")
     everyone = union_by_name(features, lower_columns(test))
-    clean = _checked(everyone, "application", reports, keys=["sk_id_curr"])
+    clean = _checked(everyone, "application", audits, keys=["sk_id_curr"])
     typed = cast_columns(round_floats(clean), ["cnt_fam_members"], "int")
     dated = typed.withColumns(
         {"age": age_years("days_birth")} | _date_columns(APPLICATION_DATES, anchor)
@@ -92,10 +93,10 @@ def silver_bureau(
     df: DataFrame,
     dates: bool = False,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
-    reports: list[DataFrame] | None = None,
+    audits: Audits = None,
 ) -> Tables:
     """Credits at other lenders; with ``dates`` three offsets also as dates."""
-    clean = round_floats(_checked(lower_columns(df), "bureau", reports))
+    clean = round_floats(_checked(lower_columns(df), "bureau", audits))
     more = {
         "days_credit_update": negate_positive("days_credit_update"),
         "annuity_to_credit_ratio": safe_ratio("amt_annuity", "amt_credit_sum"),
@@ -112,10 +113,10 @@ def silver_bureau_balance(
     df: DataFrame,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
     labels: Mapping[str, str] = STATUS_LABELS,
-    reports: list[DataFrame] | None = None,
+    audits: Audits = None,
 ) -> Tables:
     """Monthly status of credits at other lenders, with labels for the codes."""
-    clean = _checked(lower_columns(df), "bureau_balance", reports)
+    clean = _checked(lower_columns(df), "bureau_balance", audits)
     labelled = clean.withColumn("status", map_values("status", labels))
     return {"bureau_balance": _with_month(labelled, anchor)}
 
@@ -123,30 +124,30 @@ def silver_bureau_balance(
 def silver_credit_card_balance(
     df: DataFrame,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
-    reports: list[DataFrame] | None = None,
+    audits: Audits = None,
 ) -> Tables:
     """Monthly credit-card snapshots."""
-    clean = round_floats(_checked(lower_columns(df), "credit_card_balance", reports))
+    clean = round_floats(_checked(lower_columns(df), "credit_card_balance", audits))
     return {"credit_card_balance": _with_month(clean, anchor)}
 
 
 def silver_pos_cash_balance(
     df: DataFrame,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
-    reports: list[DataFrame] | None = None,
+    audits: Audits = None,
 ) -> Tables:
     """Monthly snapshots of point-of-sale and cash loans."""
-    clean = round_floats(_checked(lower_columns(df), "pos_cash_balance", reports))
+    clean = round_floats(_checked(lower_columns(df), "pos_cash_balance", audits))
     return {"pos_cash_balance": _with_month(clean, anchor)}
 
 
 def silver_installments(
     df: DataFrame,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
-    reports: list[DataFrame] | None = None,
+    audits: Audits = None,
 ) -> Tables:
     """Payments of instalments, with the paid share and the amount still open."""
-    clean = _checked(lower_columns(df), "installments_payments", reports)
+    clean = _checked(lower_columns(df), "installments_payments", audits)
     features = _date_columns(INSTALLMENT_DATES, anchor)
     features["ratio_payment_installment"] = rate("amt_payment", "amt_instalment")
     features["payment_delay"] = clean["amt_instalment"] - clean["amt_payment"]
@@ -157,10 +158,10 @@ def silver_previous_application(
     df: DataFrame,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
     labels: Mapping[int, str] = INSURED_LABELS,
-    reports: list[DataFrame] | None = None,
+    audits: Audits = None,
 ) -> Tables:
     """Earlier applications, with dates and the insurance label."""
-    clean = _checked(lower_columns(df), "previous_application", reports)
+    clean = _checked(lower_columns(df), "previous_application", audits)
     insured = clean["nflag_insured_on_approval"].try_cast("int")
     features = _date_columns(PREVIOUS_DATES, anchor)
     features["nflag_insured_on_approval"] = map_values(insured, labels)
@@ -168,11 +169,12 @@ def silver_previous_application(
 
 
 def _checked(
-    df: DataFrame, name: str, reports: list[DataFrame] | None, keys: list[str] | None = None
+    df: DataFrame, name: str, audits: Audits, keys: list[str] | None = None
 ) -> DataFrame:
-    if reports is not None:
-        reports.append(quality_report(df, name, keys))
-    return quality_clean(df, keys)
+    audit = None
+    if audits is not None:
+        audit = audits[name] = Observation(name)
+    return quality_clean(df, keys, audit=audit)
 
 
 def _date_columns(

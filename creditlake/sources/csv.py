@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditlake.jobs import together
 from creditlake.settings import SOURCE_TYPES
 from creditlake.sources.layers import Layer
 
@@ -52,19 +53,26 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
 
 
 def load_all(
-    spark: SparkSession, folder: str, bronze: Layer, files: Sequence[str] | None = None
+    spark: SparkSession,
+    folder: str,
+    bronze: Layer,
+    files: Sequence[str] | None = None,
+    at_once: int = 1,
 ) -> DataFrame:
     """Load files into bronze tables named after the file; report what happened.
 
     A file that fails does not stop the others. The report is
     ``(table, status, rows, error)`` with status ``loaded`` or ``failed``.
     """
-    report = []
-    for file in list_csv(spark, folder) if files is None else files:
+
+    def load(file: str) -> tuple[str, str, int | None, str | None]:
         table = file.split(".")[0]
         try:
             bronze.write(load_csv(spark, f"{folder.rstrip('/')}/{file}"), table)
-            report.append((table, "loaded", bronze.read(table).count(), None))
+            return table, "loaded", bronze.read(table).count(), None
         except Exception as error:
-            report.append((table, "failed", None, str(error)))
+            return table, "failed", None, str(error)
+
+    names = list_csv(spark, folder) if files is None else files
+    report = together([lambda file=file: load(file) for file in names], at_once)
     return spark.createDataFrame(report, _REPORT)

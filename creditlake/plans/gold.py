@@ -9,7 +9,7 @@ pruned scans of all its dimensions together read each column once.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -116,6 +116,7 @@ def build_star(
         for table, (key, natural) in star.dimensions.items()
         if only is None or table in only or (with_fact and key in fact_columns)
     }
+    needed = {table: (key, c) for table, (key, c) in needed.items() if c}
     made = together(
         [lambda c=c, key=key: create_dimension(df, c, key) for key, c in needed.values()]
     )
@@ -123,16 +124,35 @@ def build_star(
 
     tables = _chosen({t: ready[t].frame for t in keys if t in ready}, only)
     if with_fact:
-        fact = df
-        for table in keys:
-            if keys[table] in fact_columns:
-                fact = attach_key(fact, ready[table], null_safe)
-        if skip_missing:
-            fact_columns = [c for c in fact_columns if c in fact.columns]
-        tables[star.fact] = fact.select(*fact_columns)
+        tables[star.fact] = _fact(df, ready, fact_columns, null_safe, skip_missing)
     return tables
 
 
+def _fact(
+    df: DataFrame,
+    dimensions: Mapping[str, Dimension],
+    columns: Sequence[str],
+    null_safe: bool,
+    skip_missing: bool,
+) -> DataFrame:
+    """``columns`` of ``df`` and of the dimensions' keys.
+
+    A lookup carries along only what the fact or a later lookup needs, so that
+    a shuffle, where one is needed, moves narrow rows.
+    """
+    used = [d for d in dimensions.values() if d.key in columns]
+    keys = {d.key for d in used}
+    if skip_missing:
+        columns = [c for c in columns if c in df.columns or c in keys]
+    fact = df
+    for i in range(len(used) + 1):
+        carried = {*columns}.union(*[d.columns for d in used[i:]])
+        fact = fact.select(*[c for c in fact.columns if c in carried])
+        if i < len(used):
+            fact = attach_key(fact, used[i], null_safe)
+    return fact.select(*columns)
+
+
 def _natural_key(df: DataFrame, natural: tuple[str, ...] | str, skip_missing: bool) -> list[str]:
     if isinstance(natural, str):
         return columns_with_prefix(df, natural.removesuffix("*"))

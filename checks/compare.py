@@ -50,5 +50,5 @@ def _text(value: object) -> str:
     if value is None:
         return "NULL"
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else repr(value + 0.0)
+        return "NaN" if math.isnan(value) else repr(value)
     return str(value)

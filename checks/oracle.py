@@ -567,7 +567,7 @@ oracle("histogram_lineitem", _histogram("l_extendedprice", 20, "lineitem"))
 # Behaviour
 
 oracle(
-    "behavior_all",
+    "behavior",
     "SELECT sk_id_bureau, max_dpd, avg_dpd, delinquency_ratio, severe_delinquency_ratio, history_length, "
     "history_min, history_max FROM behavior",
 )
@@ -604,7 +604,7 @@ def _counted(inner: str, columns: list[str]) -> str:
 
 
 oracle(
-    "attach_key_plain",
+    "attach_key",
     _counted(
         _keyed("pos_cash_balance", ["months_balance"], ["months_balance"], "month_id", False),
         ["months_balance", "month_id"],
@@ -681,7 +681,7 @@ for _job, (_table, _star, _more) in STARS.items():
     )
 oracle("dim_app_target", "SELECT * FROM application_target")
 oracle("dim_bureau_balance", "SELECT * FROM bureau_balance")
-oracle("dim_bureau_behavior", "SELECT * FROM dim_bureau_behavior")
+oracle("dim_behavior", "SELECT * FROM dim_bureau_behavior")
 oracle(
     "fact_application_all_keys",
     _fact("application", stars.APPLICATION, more=("info_id", "doc_id", "contact_id")),

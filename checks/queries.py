@@ -30,7 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -432,7 +432,7 @@ def _balance(spark, sf):
 
 
 @query
-def behavior_all(spark, sf):
+def behavior_(spark, sf):
     return behavior(_balance(spark, sf)).select(
         "sk_id_bureau", "max_dpd", "avg_dpd", "delinquency_ratio", "severe_delinquency_ratio",
         "history_length", "history_min", "history_max",
@@ -459,7 +459,7 @@ def behavior_legacy(spark, sf):
 
 
 @query
-def attach_key_plain(spark, sf):
+def attach_key_(spark, sf):
     df = _silver(spark, sf, "POS_CASH_balance")
     months = create_dimension(df, ["months_balance"], "month_id")
     keyed = attach_key(df, months, null_safe=False)
@@ -586,8 +586,8 @@ for _job, _star in _GOLD.values():
 for _table in ("dim_app_target",):
     QUERIES[_table] = partial(_gold_table, job=_application_gold, table=_table)
 
-for _table in ("dim_bureau_balance", "dim_bureau_behavior"):
-    QUERIES[_table] = partial(_gold_table, job=_bureau_gold, table=_table)
+for _table, _name in {"dim_bureau_balance": "dim_bureau_balance", "dim_bureau_behavior": "dim_behavior"}.items():
+    QUERIES[_name] = partial(_gold_table, job=_bureau_gold, table=_table)
 
 
 @query

@@ -68,9 +68,8 @@ SOURCE_FILES = (
     "POS_CASH_balance.csv",
 )
 
-# Column types of the source files. The first rule whose name equals the
-# lower-case column, or whose `prefix*` starts it, decides; a column that no
-# rule covers is inferred.
+# Column types of the source files. The first rule that fits the lower-case
+# column decides (`*` is any text); a column that no rule covers is inferred.
 SOURCE_TYPES = (
     ("target", "int"),
     ("sk_id_*", "bigint"),
@@ -112,6 +111,11 @@ SOURCE_TYPES = (
     ("sellerplace_area", "int"),
     ("housetype_mode", "string"),
     ("emergencystate_mode", "string"),
+    ("fondkapremont_mode", "string"),
+    ("wallsmaterial_mode", "string"),
+    ("*_avg", "double"),
+    ("*_mode", "double"),
+    ("*_medi", "double"),
     ("name_*", "string"),
     ("code_*", "string"),
     ("weekday_*", "string"),

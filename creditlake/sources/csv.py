@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fnmatch import fnmatchcase
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +40,8 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 def source_type(column: str) -> str | None:
     """The type that the rules give to a column of a known source."""
-    name = column.lower()
-    for rule, type_name in SOURCE_TYPES:
-        if name == rule or (rule.endswith("*") and name.startswith(rule[:-1])):
-            return type_name
-    return None
+    fitting = (t for rule, t in SOURCE_TYPES if fnmatchcase(column.lower(), rule))
+    return next(fitting, None)
 
 
 def list_csv(spark: SparkSession, folder: str) -> list[str]:

@@ -12,16 +12,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_FOLDER = f"creditlake-{uuid.uuid4().hex}"
-_local_folder: tempfile.TemporaryDirectory | None = None
+_NAME = f"creditlake-{uuid.uuid4().hex}"
+_folders: dict[str, str] = {}
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """This process's folder below the session's checkpoint directory."""
+    """This process's folder below the session's checkpoint directory.
+
+    It is deleted when the driver ends.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = _own_folder(spark)
-    return f"{base.rstrip('/')}/{_FOLDER}"
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    place = base or ""
+    if place not in _folders:
+        folder = f"{base.rstrip('/')}/{_NAME}" if base else tempfile.mkdtemp(prefix=_NAME)
+        files, path = _hadoop(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _folders[place] = folder
+    return _folders[place]
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -34,15 +44,12 @@ def stage(df: DataFrame) -> DataFrame:
 
 def clear_staging(spark: SparkSession) -> None:
     """Delete all tables staged by this process; frames built on them end here."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _hadoop(spark, staging_folder(spark))
+    files.delete(path, True)
 
 
-def _own_folder(spark: SparkSession) -> str:
-    global _local_folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="creditlake-", ignore_cleanup_errors=True)
-    return _local_folder.name
+def _hadoop(spark: SparkSession, folder: str) -> tuple:
+    """The file system of ``folder`` and its path there."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path

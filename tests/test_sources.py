@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import types as T
 
 from creditlake import Layer
-from creditlake.sources.csv import list_csv, load_all, load_csv
+from creditlake.sources.csv import list_csv, load_all, load_csv, source_type
 
 
 def write(folder, name, text):
@@ -32,6 +32,15 @@ def test_known_columns_have_fixed_types_and_others_are_inferred(spark, tmp_path)
     assert rows(df) == [(1, "0", 5.0, "x"), (2, "C", None, "y")]
 
 
+def test_type_rules():
+    assert source_type("DAYS_BIRTH") == "int"
+    assert source_type("DAYS_REGISTRATION") == "double"
+    assert source_type("CREDIT_DAY_OVERDUE") == "int"
+    assert source_type("HOUSETYPE_MODE") == "string"
+    assert source_type("FLOORSMAX_MODE") == "double"
+    assert source_type("something") is None
+
+
 def test_a_folder_of_files_with_one_header(spark, tmp_path):
     (tmp_path / "t.csv").mkdir()
     write(tmp_path / "t.csv", "p1.csv", "sk_id_curr,target\n1,0\n")

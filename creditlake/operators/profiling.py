@@ -182,21 +182,23 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
     """Quartiles, whiskers and outlier count of one column, one row.
 
     The whiskers end at the outermost values within 1.5 interquartile ranges
-    of the box.
+    of the box. The quartiles are looked up when the result is made, as one row.
     """
-    box = quantiles(df, [column]).toDF("column", "values", "q25", "q50", "q75")
-    # The box is exactly one row.
-    values = _present(df, column).withColumn("column", F.lit(column))
-    reach = WHISKER * (F.col("q75") - F.col("q25"))
-    inside = (F.col("v") >= F.col("q25") - reach) & (F.col("v") <= F.col("q75") + reach)
-    return (
-        values.join(F.broadcast(box), "column")
-        .groupBy("column", "q25", "q50", "q75")
-        .agg(
-            F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
-        )
+    box = quantiles(df, [column]).first()
+    if box is None:
+        raise ValueError(f"no values in {column}")
+    low, middle, high = box["q0"], box["q1"], box["q2"]
+    reach = WHISKER * (high - low)
+    value = F.col("v")
+    inside = (value >= low - reach) & (value <= high + reach)
+    return _present(df, column).agg(
+        F.lit(column).alias("column"),
+        F.lit(low).alias("q25"),
+        F.lit(middle).alias("q50"),
+        F.lit(high).alias("q75"),
+        F.min(F.when(inside, value)).alias("whisker_low"),
+        F.max(F.when(inside, value)).alias("whisker_high"),
+        F.count_if(~inside).alias("outliers"),
     )
 
 

@@ -111,7 +111,8 @@ def attach_key(
         idle = idle | reduce(Column.__or__, [F.col(c).isNull() for c in columns])
     spread = f"{_MATCH}spread"
     marked = marked.withColumn(spread, F.when(idle, F.xxhash64(*df.columns)).otherwise(F.lit(0)))
-    cold = dimension.frame.withColumn(spread, F.lit(0).cast("bigint"))
+    # Zero in every row, but not a literal: the planner would not shuffle by one.
+    cold = dimension.frame.withColumn(spread, F.col(key).bitwiseAND(F.lit(0).cast("bigint")))
     joined = _lookup(marked, cold, [*columns, spread], key, null_safe)
     found = F.when(idle, F.col(hot)).otherwise(F.col(key)).alias(key)
     return joined.select(*df.columns, found)

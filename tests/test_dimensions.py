@@ -85,9 +85,11 @@ def test_lookup_finds_frequent_keys_by_itself(spark):
     assert rows(small.groupBy("id").count()) == rows(large.groupBy("id").count())
 
 
-def test_hot_rows_are_spread(spark):
+@pytest.mark.parametrize("null_safe", [True, False])
+@pytest.mark.parametrize("value", ["NULL", "'hot'"])
+def test_hot_rows_are_spread(spark, null_safe, value):
     """With broadcasting off, no task of the shuffled lookup gets the hot key whole."""
-    hot = spark.range(10000).selectExpr("CAST(NULL AS STRING) AS a", "CAST(id AS INT) AS v")
+    hot = spark.range(10000).selectExpr(f"CAST({value} AS STRING) AS a", "CAST(id AS INT) AS v")
     rest = spark.range(20000).selectExpr("CAST(id AS STRING) AS a", "CAST(id AS INT) AS v")
     df = hot.union(rest)
     dimension = create_dimension(df, ["a"], "id")
@@ -98,7 +100,7 @@ def test_hot_rows_are_spread(spark):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        got = attach_key(df, dimension)
+        got = attach_key(df, dimension, null_safe)
         sizes = [
             r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
         ]

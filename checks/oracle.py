@@ -468,9 +468,8 @@ def _copies(origin: str, what: str) -> str:
     return f"(SELECT count(*) FROM {origin}) - (SELECT count(*) FROM (SELECT DISTINCT {what} FROM {origin}) AS d)"
 
 
-oracle(
-    "quality_report",
-    "\nUNION ALL ".join([
+_reports = "\nUNION ALL ".join(
+    [
         _report("application", APPLICATION, "everyone", "one_each", f"SELECT {_copies('everyone', 'sk_id_curr')}"),
         _report(
             "bureau_balance", ["sk_id_bureau", "months_balance", "status"], "raw_bureau_balance",
@@ -480,8 +479,10 @@ oracle(
             "bureau", BUREAU, "raw_bureau",
             "(SELECT DISTINCT * FROM raw_bureau) AS k", f"SELECT {_copies('raw_bureau', '*')}",
         ),
-    ]),
+    ]
 )
+oracle("quality_report", _reports)
+oracle("quality_audit", _reports)
 oracle(
     "quality_clean",
     f"SELECT {', '.join(f'{_no_outlier(c)} AS {c}' if 'days' in c else c for c in APPLICATION)} FROM one_each",
@@ -708,4 +709,5 @@ FROM application AS a {join} JOIN application_target AS g ON a.sk_id_curr = g.sk
 
 
 oracle("mart_master", _master("INNER"))
+oracle("pipeline_mart_master", _master("INNER"))
 oracle("mart_master_everyone", _master("LEFT"))

@@ -7,13 +7,15 @@ queries round those before they are compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import given, source
+from checks.views import SOURCES, given, source
+from creditlake import Layer, build_layers
 from creditlake.functions import columns as C
 from creditlake.functions import scalars as S
 from creditlake.operators import profiling as P
@@ -22,7 +24,7 @@ from creditlake.operators.behavior import behavior
 from creditlake.operators.dimensions import attach_key, create_dimension
 from creditlake.plans import gold, marts, silver, stars
 from creditlake.settings import INSURED_LABELS, LEGACY_SEVERITY, SEVERITY, STATUS_LABELS
-from creditlake.staging import stage
+from creditlake.staging import stage, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -358,6 +360,17 @@ def quality_clean(spark, sf):
     return Q.quality_check(_everyone(spark, sf), "application", ["sk_id_curr"])[0]
 
 
+@query
+def quality_audit(spark, sf):
+    """The same counts, observed while the cleaned tables are written."""
+    audits = {"application": Observation(), "bureau_balance": Observation(), "bureau": Observation()}
+    everyone = _everyone(spark, sf)
+    stage(Q.quality_clean(everyone, ["sk_id_curr"], audit=audits["application"]))
+    for name in ("bureau_balance", "bureau"):
+        stage(Q.quality_clean(_raw(spark, sf, name), audit=audits[name]))
+    return Q.audit_report(spark, audits)
+
+
 # Profiling
 
 
@@ -661,6 +674,20 @@ def mart_master(spark, sf):
     return _master(spark, sf)
 
 
+@query
+def pipeline_mart_master(spark, sf):
+    """The wide table at the end of the whole build, from CSV files through all layers."""
+    folder = f"{staging_folder(spark)}/build-{uuid.uuid4().hex}"
+    for name in SOURCES:
+        source(spark, sf, name).write.csv(f"{folder}/csv/{name}.csv", header=True)
+    bronze, silver_layer, gold_layer = (
+        Layer(spark, path=f"{folder}/{n}") for n in ("bronze", "silver", "gold")
+    )
+    build_layers(spark, f"{folder}/csv", bronze, silver_layer, gold_layer, keep_staging=True)
+    wide = gold_layer.read("mart_master")
+    return _rounded(wide, _BUREAU_SUMS + _PREVIOUS_SUMS + _PAYMENT_SUMS)
+
+
 @query
 def mart_master_everyone(spark, sf):
     return _master(spark, sf, labelled_only=False)

@@ -38,8 +38,8 @@ from creditlake.staging import stage
 
 CAPACITY = 2048
 # Patterns tried, and sweeps of the fit.
-PATTERNS_PER_LENGTH = 24
-SWEEPS = 60
+PATTERNS_PER_LENGTH = 8
+SWEEPS = 30
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, rank bigint"
 

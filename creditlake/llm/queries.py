@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import packing, token_files
+from creditlake.llm import bpe, packing, token_files
 from creditlake.llm.common import table
 from creditlake.staging import staging_folder
 
@@ -37,3 +37,16 @@ def op8_packing(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+@query
+def op9_bpe(spark, sf_dir):
+    """Every text encoded by the streaming transducer and decoded again."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    back = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, packing, token_files
+from creditlake.llm import bpe, packing, simhash, token_files
 from creditlake.llm.common import table
 from creditlake.staging import staging_folder
 
@@ -50,3 +50,11 @@ def op9_bpe(spark, sf_dir):
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_simhash(spark, sf_dir):
+    """Every document's fingerprint and group."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")

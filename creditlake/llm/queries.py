@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, packing, simhash, token_files
-from creditlake.llm.common import table
+from creditlake.llm import bpe, language, packing, simhash, token_files
+from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,11 @@ def op5_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op10_language(spark, sf_dir):
+    """Every document's language, learned from four of five folds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, fold("doc_id") != 0)
+    return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score", "rejected")

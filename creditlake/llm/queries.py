@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, language, packing, simhash, token_files
+from creditlake.llm import bpe, language, packing, simhash, token_files, topk
 from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
 
@@ -66,3 +66,29 @@ def op10_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, fold("doc_id") != 0)
     return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op7_topk(spark, sf_dir):
+    """The ten best of all other vectors for every hundredth one."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op7_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS whole
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, v.vec_id,
+        CAST(COALESCE(list_sum(list_transform(list_zip(q.whole, v.whole), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+    FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.whole) = len(v.whole)
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score
+    FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, language, packing, simhash, token_files, topk
+from creditlake.llm import bpe, language, packing, quality_rules, simhash, token_files, topk
 from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
 
@@ -92,3 +92,9 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    """Every document's counts, base rules and verdict."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"))

@@ -51,7 +51,7 @@ STATISTICS = {
     "log of word length": (lambda: F.log(F.col("word_chars") / F.col("n_words")), 0.06),
     "root of symbol share": (lambda: F.sqrt(F.col("n_symbols") / F.col("word_chars")), 0.03),
     "share of repeated lines": (lambda: F.sqrt(F.col("n_dup_lines") / F.col("n_lines")), 0.12),
-    "share of repeated words": (lambda: F.sqrt(F.col("n_repeat_words") / F.col("n_words")), 0.1),
+    "share of repeated words": (lambda: F.sqrt(F.col("n_repeat_words") / F.col("n_words")), 0.15),
 }
 _P = len(STATISTICS)
 _X = [f"x{i}" for i in range(_P)]

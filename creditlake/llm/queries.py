@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, language, packing, quality_rules, simhash, token_files, topk
+from creditlake.llm import bpe, language, line_dedup, packing, quality_rules, simhash, token_files, topk
 from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
 
@@ -98,3 +98,34 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 def op3_quality_rules(spark, sf_dir):
     """Every document's counts, base rules and verdict."""
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    """Every document without the later occurrences of repeated three-line windows."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+SQL["op2_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, text AS t, str_split(text, chr(10)) AS l FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT doc_id, t, i, list_slice(l, i, i + 2) AS w
+    FROM (SELECT doc_id, t, l, unnest(range(1, len(l) - 1)) AS i FROM lines WHERE len(l) >= 3)
+), places AS (
+    SELECT doc_id, t, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, t, i) AS k
+    FROM windows WHERE len(list_filter(w, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) > 0
+), removed AS (
+    SELECT DISTINCT doc_id, t, i + d AS i FROM places, (SELECT unnest([0, 1, 2]) AS d) WHERE k > 1
+), kept AS (
+    SELECT x.doc_id, x.t, count(*) AS n, string_agg(x.line, chr(10) ORDER BY x.i) AS text
+    FROM (SELECT DISTINCT doc_id, t, generate_subscripts(l, 1) AS i, unnest(l) AS line FROM lines) AS x
+    ANTI JOIN removed AS r ON x.doc_id = r.doc_id AND x.t = r.t AND x.i = r.i
+    GROUP BY ALL
+)
+SELECT d.doc_id, COALESCE(len(str_split(d.text, chr(10))), 0) AS n_lines,
+    CASE WHEN d.text IS NULL OR d.doc_id IS NULL THEN 0
+        ELSE len(str_split(d.text, chr(10))) - COALESCE(k.n, 0) END AS n_removed,
+    CASE WHEN d.text IS NULL OR d.doc_id IS NULL THEN d.text ELSE COALESCE(k.text, '') END AS text
+FROM documents AS d LEFT JOIN kept AS k ON d.doc_id = k.doc_id AND d.text = k.t
+"""

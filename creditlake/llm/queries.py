@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, language, line_dedup, packing, quality_rules, simhash, token_files, topk
+from creditlake.llm import bpe, language, line_dedup, packing, quality_rules, simhash, suffix_dedup, token_files, topk
 from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
 
@@ -129,3 +129,16 @@ SELECT d.doc_id, COALESCE(len(str_split(d.text, chr(10))), 0) AS n_lines,
     CASE WHEN d.text IS NULL OR d.doc_id IS NULL THEN d.text ELSE COALESCE(k.text, '') END AS text
 FROM documents AS d LEFT JOIN kept AS k ON d.doc_id = k.doc_id AND d.text = k.t
 """
+
+
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    """Every document without the strings of 200 bytes that also start elsewhere."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, language, line_dedup, packing, quality_rules, simhash, suffix_dedup, token_files, topk
+from creditlake.llm import bpe, language, line_dedup, lm_scoring, packing, quality_rules, simhash, suffix_dedup, token_files, topk
 from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
 
@@ -142,3 +142,9 @@ def op4_suffix_dedup(spark, sf_dir):
         F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op6_lm_scoring(spark, sf_dir):
+    """Every document's base score and score under the recurrent model."""
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), fold("doc_id") != 1)

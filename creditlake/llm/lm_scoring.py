@@ -38,11 +38,11 @@ from creditlake.llm import recurrent
 from creditlake.staging import stage
 
 HEAD = 131_072
-VOCABULARY = 2_048
+VOCABULARY = 1_024
 ROUNDS = 2
 FAN_IN = 16
 # Tokens of the documents that run side by side, and words a task counts before it hands them on.
-TOGETHER = 120_000
+TOGETHER = 800_000
 COUNTED = 400_000
 
 # The end of a document; no word holds a line feed.

@@ -12,13 +12,15 @@ over the classes and one over the words of its class.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 HIDDEN = 16
-WIDTH = 64
-STREAMS = 128
-WINDOW = 16
-RATE = 0.08
+WIDTH = 32
+STREAMS = 512
+WINDOW = 32
+RATE = 0.03
 
 Parameters = dict[str, np.ndarray]
 
@@ -59,28 +61,31 @@ def shaped(values: np.ndarray, like: Parameters) -> Parameters:
     return out
 
 
-def streams(documents: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and document numbers by step and stream; -1 where a stream has ended."""
-    n = max(1, min(n, len(documents)))
-    ends = np.zeros(n, np.int64)
+def streams(documents: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and document numbers by step and stream; -1 where a stream has ended.
+
+    There are as many streams as keep the others as long as the longest
+    document, up to ``most``.
+    """
+    sizes = np.array([len(d) for d in documents])
+    n = max(1, min(most, len(documents), int(sizes.sum()) // max(1, int(sizes.max(initial=1)))))
     lanes: list[list[int]] = [[] for _ in range(n)]
     # The longest documents first, each to the shortest stream.
-    for k in sorted(range(len(documents)), key=lambda k: -len(documents[k])):
-        lane = int(ends.argmin())
+    ends = [(0, lane) for lane in range(n)]
+    for k in np.argsort(-sizes, kind="stable").tolist():
+        end, lane = heapq.heappop(ends)
         lanes[lane].append(k)
-        ends[lane] += len(documents[k])
-    steps = int(ends.max(initial=0))
-    ids, owner = np.full((steps, n), -1, np.int64), np.full((steps, n), -1, np.int64)
+        heapq.heappush(ends, (end + len(documents[k]), lane))
+    steps = max((end for end, _ in ends), default=0)
+    ids, owner = np.full((n, steps), -1, np.int32), np.full((n, steps), -1, np.int32)
     for lane, held in enumerate(lanes):
-        at = 0
-        for k in held:
-            ids[at : at + len(documents[k]), lane] = documents[k]
-            owner[at : at + len(documents[k]), lane] = k
-            at += len(documents[k])
-    return ids, owner
+        tokens = np.concatenate([documents[k] for k in held])
+        ids[lane, : len(tokens)] = tokens
+        owner[lane, : len(tokens)] = np.repeat(held, sizes[held])
+    return np.ascontiguousarray(ids.T), np.ascontiguousarray(owner.T)
 
 
-def score(p: Parameters, documents: list[np.ndarray], n: int = 512, window: int = 64) -> np.ndarray:
+def score(p: Parameters, documents: list[np.ndarray], n: int = STREAMS, window: int = 64) -> np.ndarray:
     """Natural log probability of each document."""
     ids, owner = streams(documents, n)
     total = np.zeros(len(documents))
@@ -101,7 +106,7 @@ class Trainer:
 
     def __init__(self, parameters: Parameters):
         self.p = {k: v.copy() for k, v in parameters.items()}
-        self.seen = {k: np.full_like(v, 1e-3) for k, v in parameters.items()}
+        self.seen = {k: np.full_like(v, 1e-4) for k, v in parameters.items()}
         self.tokens = 0
 
     def learn(self, documents: list[np.ndarray]) -> None:
@@ -127,21 +132,33 @@ def backward(p: Parameters, previous, fresh, targets, state):
     _, outputs, g_live = _log_probability(p, hidden[live], targets[live], gradients=True)
     g_hidden = np.zeros_like(hidden)
     g_hidden[live] = g_live
-    g_table = np.zeros_like(table)
-    g_back = np.zeros_like(p["back"])
+    # Gradients of the gates: of what the input gave and of what the state gave.
+    given = np.empty((*previous.shape, 3 * h), hidden.dtype)
+    own = np.empty_like(given)
+    befores = np.empty_like(hidden)
     carried = np.zeros_like(state)
+    back = np.ascontiguousarray(p["back"].T)
     for t in range(len(targets) - 1, -1, -1):
         before, update, reset, candidate, inner = steps[t]
         g = g_hidden[t] + carried
-        g_update = g * (before - candidate) * update * (1 - update)
-        g_candidate = g * (1 - update) * (1 - candidate * candidate)
-        g_reset = g_candidate * inner * reset * (1 - reset)
-        g_inner = g_candidate * reset
-        g_gates = np.concatenate([g_update, g_reset, g_inner], 1)
-        g_back += before.T @ g_gates
-        g_input = np.concatenate([g_update, g_reset, g_candidate], 1)
-        np.add.at(g_table, previous[t], g_input)
-        carried = (g * update + g_gates @ p["back"].T) * ~fresh[t][:, None]
+        rest = g * (1 - update)
+        g_candidate = rest * (1 - candidate * candidate)
+        given[t, :, :h] = rest * (before - candidate) * update
+        given[t, :, h : 2 * h] = g_candidate * inner * reset * (1 - reset)
+        given[t, :, 2 * h :] = g_candidate
+        own[t, :, : 2 * h] = given[t, :, : 2 * h]
+        own[t, :, 2 * h :] = g_candidate * reset
+        befores[t] = before
+        carried = g * update + own[t] @ back
+        if fresh[t].any():
+            carried *= ~fresh[t][:, None]
+    g_back = befores.reshape(-1, h).T @ own.reshape(-1, 3 * h)
+    g_table = np.zeros_like(table)
+    tokens = np.where(previous < 0, len(table) - 1, previous).ravel()
+    order = np.argsort(tokens, kind="stable")
+    tokens = tokens[order]
+    heads = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+    g_table[tokens[heads]] = np.add.reduceat(given.reshape(-1, 3 * h)[order], heads)
     used = outputs
     used["bias"] = g_table.sum(0)
     used["input"] = p["embed"].T @ g_table
@@ -159,6 +176,7 @@ def _previous(ids, owner, at, n) -> tuple[np.ndarray, np.ndarray]:
     other[1:] = owner[at : at + n - 1]
     other[0] = owner[at - 1] if at else -1
     fresh = owner[at : at + n] != other
+    # The last row of the table is the outside token's.
     return np.where(fresh, -1, before), fresh
 
 

@@ -120,6 +120,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return marked.join(names, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each group of near-duplicates of ``docs``, all columns in place.
+
+    It is the one with the smallest ``doc_id``; of rows that share it, the one
+    with the least text. Texts without words are copies of each other. Rows without
+    ``doc_id`` take no part and stay.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    named = docs.toDF(*names).withColumn("doc_id_", doc.cast("bigint"))
+    rows = named.filter("doc_id_ IS NOT NULL").select(F.col("doc_id_").alias("doc_id"), text.alias("text"))
+    first = near_duplicates(rows, shingle).select("component_id").distinct()
+    kept = named.join(first, F.col("doc_id_") == F.col("component_id"), "left_semi")
+    once = kept.groupBy("doc_id_").agg(F.min_by(F.struct(*names), F.struct(text, F.xxhash64(*names))).alias("row"))
+    whole = named.filter("doc_id_ IS NULL").select(*names).union(once.select("row.*"))
+    return whole.toDF(*docs.columns)
+
+
 def _mask(*segments: int) -> int:
     bits = 0
     for s in segments:

@@ -683,7 +683,7 @@ def pipeline_mart_master(spark, sf):
     bronze, silver_layer, gold_layer = (
         Layer(spark, path=f"{folder}/{n}") for n in ("bronze", "silver", "gold")
     )
-    build_layers(spark, f"{folder}/csv", bronze, silver_layer, gold_layer, keep_staging=True)
+    build_layers(spark, f"{folder}/csv", bronze, silver_layer, gold_layer)
     wide = gold_layer.read("mart_master")
     return _rounded(wide, _BUREAU_SUMS + _PREVIOUS_SUMS + _PAYMENT_SUMS)
 

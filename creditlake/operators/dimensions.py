@@ -85,32 +85,40 @@ def attach_key(
     dimension: Dimension,
     null_safe: bool = True,
     broadcast_limit: int | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """``df`` with the dimension's key as a last column, NULL where none matches.
 
     With ``null_safe`` a missing value matches a missing value; without, it
     matches nothing. ``broadcast_limit`` in bytes defaults to the session's
-    ``spark.sql.autoBroadcastJoinThreshold``.
+    ``spark.sql.autoBroadcastJoinThreshold``. Frequent keys are searched for in
+    ``df``; ``counted`` says that the dimension was counted from the same rows, so
+    that its own are known, or that it has unique keys and so does ``df``.
     """
     columns, key = dimension.columns, dimension.key
     limit = _session_limit(df) if broadcast_limit is None else broadcast_limit
     if dimension.size <= limit:
         return _lookup(df, F.broadcast(dimension.frame), columns, key, null_safe)
 
-    frequent = dimension.frequent
+    frequent = dimension.frequent if counted else _frequent_tuples(df, dimension)
     if frequent is None:
-        frequent = _frequent_tuples(df, dimension)
-    hot = f"{_MATCH}hot"
-    marked = _lookup(
-        df, F.broadcast(frequent.withColumnRenamed(key, hot)), columns, hot, null_safe
-    )
-    # Rows that are answered already, or that can match nothing, are spread
-    # over all tasks by a hash of the whole row instead of by their key.
+        return _lookup(df, dimension.frame, columns, key, null_safe)
+    # Frequent tuples travel as two hashes and a key, so they have a bound in
+    # bytes too, however long the values are.
+    hot, pair = f"{_MATCH}hot", [f"{_MATCH}h1", f"{_MATCH}h2"]
+    hashed = frequent.select(F.col(key).alias(hot), *_hashes(columns, pair))
     idle = F.col(hot).isNotNull()
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+    marked = df.withColumns({n: F.when(F.lit(null_safe) | ~missing, h) for n, h in zip(pair, _hashes(columns, pair))})
+    marked = marked.join(F.broadcast(hashed), pair, "left").drop(*pair)
+    # Rows that are answered already, or that can match nothing, are spread over
+    # all tasks by the task they come from instead of by their key: equal rows of
+    # different tasks part, and a repeated task sends them the same way.
     if not null_safe:
-        idle = idle | reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+        idle = idle | missing
     spread = f"{_MATCH}spread"
-    marked = marked.withColumn(spread, F.when(idle, F.xxhash64(*df.columns)).otherwise(F.lit(0)))
+    apart = F.when(idle, F.xxhash64(F.spark_partition_id() + 1)).otherwise(F.lit(0))
+    marked = marked.withColumn(spread, apart)
     # Zero in every row, but not a literal: the planner would not shuffle by one.
     cold = dimension.frame.withColumn(spread, F.col(key).bitwiseAND(F.lit(0).cast("bigint")))
     joined = _lookup(marked, cold, [*columns, spread], key, null_safe)
@@ -169,10 +177,25 @@ def _number(
     )
 
 
+def _hashes(columns: Sequence[str], names: Sequence[str]) -> list[Column]:
+    """Two hashes of a tuple; missing values count with their place."""
+    parts = [p for c in columns for p in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit(i), *parts).alias(n) for i, n in enumerate(names)]
+
+
 def _row_size(df: DataFrame) -> Column:
-    """Bytes of a row in memory: eight per field, and the text itself."""
+    """Bytes of a row in memory: eight per field, and texts and bytes themselves.
+
+    A nested or wide value has no bound that is cheap to measure: it counts as
+    too large for any broadcast.
+    """
     fixed = F.lit(8 * (len(df.columns) + 1)).cast("bigint")
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    wide = T.DecimalType, T.StringType, T.BinaryType
+    plain = T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType
+    if any(not isinstance(f.dataType, (*plain, *wide)) for f in df.schema.fields):
+        return F.lit(1 << 40).cast("bigint")
+    fixed = fixed + 16 * sum(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     return reduce(
         Column.__add__, [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts], fixed
     )
@@ -204,9 +227,4 @@ def _frequent_tuples(df: DataFrame, dimension: Dimension) -> DataFrame:
 
 
 def _session_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.removesuffix("b")
-    if text[-1:] in units:
-        return int(text[:-1]) * units[text[-1]]
-    return int(text)
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

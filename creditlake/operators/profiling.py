@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditlake.functions.scalars import is_missing
-from creditlake.staging import stage
+from creditlake.staging import scope, stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
@@ -50,8 +50,9 @@ def value_counts(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """:func:`value_counts` with the share of each value in percent."""
-    total = df.dropna(subset=[column]).agg(F.count("*")).scalar()
     counted = value_counts(df, column)
+    # The total adds up the counts, so the table is read once.
+    total = counted.agg(F.sum("rows")).scalar()
     return counted.withColumn("percent", 100 * F.col("rows") / total)
 
 
@@ -184,7 +185,8 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
     The whiskers end at the outermost values within 1.5 interquartile ranges
     of the box. The quartiles are looked up when the result is made, as one row.
     """
-    box = quantiles(df, [column]).first()
+    with scope(df.sparkSession):
+        box = quantiles(df, [column]).first()
     if box is None:
         raise ValueError(f"no values in {column}")
     low, middle, high = box["q0"], box["q1"], box["q2"]

@@ -14,7 +14,7 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from creditlake.functions.columns import columns_with_prefix, lower_columns
-from creditlake.jobs import together
+from creditlake.jobs import AT_ONCE, together
 from creditlake.operators.behavior import behavior
 from creditlake.operators.dimensions import Dimension, add_key, attach_key, create_dimension
 from creditlake.plans import stars
@@ -31,6 +31,7 @@ def gold_application(
     only: Collection[str] | None = None,
     null_safe: bool = True,
     skip_missing: bool = False,
+    at_once: int = AT_ONCE,
 ) -> Tables:
     """Nine dimensions, the fact, and the label table.
 
@@ -39,7 +40,7 @@ def gold_application(
     """
     tables = build_star(
         application, stars.APPLICATION, all_keys=all_keys, only=only,
-        null_safe=null_safe, skip_missing=skip_missing,
+        null_safe=null_safe, skip_missing=skip_missing, at_once=at_once,
     )
     return tables | _chosen({"dim_app_target": target}, only)
 
@@ -51,6 +52,7 @@ def gold_bureau(
     only: Collection[str] | None = None,
     null_safe: bool = True,
     skip_missing: bool = False,
+    at_once: int = AT_ONCE,
 ) -> Tables:
     """Two dimensions, the monthly table, behaviour per credit, and the fact.
 
@@ -63,7 +65,7 @@ def gold_bureau(
         histories["dim_bureau_behavior"] = numbered
     tables = build_star(
         bureau, stars.BUREAU, more=histories, only=only,
-        null_safe=null_safe, skip_missing=skip_missing,
+        null_safe=null_safe, skip_missing=skip_missing, at_once=at_once,
     )
     return _chosen({"dim_bureau_balance": balance}, only) | tables
 
@@ -96,10 +98,12 @@ def build_star(
     only: Collection[str] | None = None,
     null_safe: bool = True,
     skip_missing: bool = False,
+    at_once: int = AT_ONCE,
 ) -> Tables:
     """The tables of one star, dimensions first.
 
-    ``only`` names the tables to build, ``more`` adds ready dimensions. A column
+    ``only`` names the tables to build; ``more`` adds ready dimensions, whose key
+    no more than one row of ``df`` carries. A column
     that ``df`` lacks is an error, unless ``skip_missing`` leaves it out.
     """
     ready = dict(more or {})
@@ -118,7 +122,7 @@ def build_star(
     }
     needed = {table: (key, c) for table, (key, c) in needed.items() if c}
     made = together(
-        [lambda c=c, key=key: create_dimension(df, c, key) for key, c in needed.values()]
+        [lambda c=c, key=key: create_dimension(df, c, key) for key, c in needed.values()], at_once
     )
     ready |= dict(zip(needed, made))
 
@@ -149,7 +153,9 @@ def _fact(
         carried = {*columns}.union(*[d.columns for d in used[i:]])
         fact = fact.select(*[c for c in fact.columns if c in carried])
         if i < len(used):
-            fact = attach_key(fact, used[i], null_safe)
+            # The dimensions of a star were counted from its own table, and the
+            # others have unique keys: no lookup has to search for frequent ones.
+            fact = attach_key(fact, used[i], null_safe, counted=True)
     return fact.select(*columns)
 
 

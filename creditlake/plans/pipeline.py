@@ -12,7 +12,7 @@ from creditlake.plans import gold, marts, silver
 from creditlake.settings import SOURCE_FILES
 from creditlake.sources.csv import load_all
 from creditlake.sources.layers import Layer
-from creditlake.staging import clear_staging
+from creditlake.staging import scope
 
 LAYERS = ("bronze", "silver", "gold", "marts")
 
@@ -27,15 +27,13 @@ def build_layers(
     files: Sequence[str] = SOURCE_FILES,
     audit: bool = True,
     at_once: int = AT_ONCE,
-    keep_staging: bool = False,
 ) -> DataFrame | None:
     """Build the chosen layers in order and return the load report.
 
     Nothing after bronze runs if a file failed to load. With ``audit`` the
     quality reports are stored as silver table ``quality_report``. The jobs of
     one layer do not depend on each other; up to ``at_once`` are submitted to
-    Spark together. All tables this process has staged are deleted after gold,
-    unless ``keep_staging`` is set.
+    Spark together. What a build stages goes with it, also if it fails.
     """
     report = None
     if "bronze" in layers:
@@ -47,51 +45,75 @@ def build_layers(
         build_silver(bronze, silver_layer, audit, at_once)
     if "gold" in layers:
         build_gold(silver_layer, gold_layer, at_once)
-        if not keep_staging:
-            clear_staging(spark)
     if "marts" in layers:
         build_marts(silver_layer, gold_layer, at_once)
     return report
 
 
 def build_silver(
-    bronze: Layer, target: Layer, audit: bool = True, at_once: int = AT_ONCE
+    bronze: Layer,
+    target: Layer,
+    audit: bool = True,
+    at_once: int = AT_ONCE,
+    tables: Collection[str] | None = None,
 ) -> None:
-    """All silver tables from the bronze ones, and the report of what was cleaned."""
+    """The silver tables from the bronze ones, and the report of what was cleaned.
+
+    ``tables`` names bronze tables whose silver tables to build, instead of all;
+    the report then holds these.
+    """
     read = bronze.read
     audits: silver.Audits = {} if audit else None
+    jobs = {
+        ("application_train", "application_test"): silver.silver_application,
+        ("bureau",): silver.silver_bureau,
+        ("bureau_balance",): silver.silver_bureau_balance,
+        ("credit_card_balance",): silver.silver_credit_card_balance,
+        ("POS_CASH_balance",): silver.silver_pos_cash_balance,
+        ("installments_payments",): silver.silver_installments,
+        ("previous_application",): silver.silver_previous_application,
+    }
     built = [
-        silver.silver_application(
-            read("application_train"), read("application_test"), audits=audits
-        ),
-        silver.silver_bureau(read("bureau"), audits=audits),
-        silver.silver_bureau_balance(read("bureau_balance"), audits=audits),
-        silver.silver_credit_card_balance(read("credit_card_balance"), audits=audits),
-        silver.silver_pos_cash_balance(read("POS_CASH_balance"), audits=audits),
-        silver.silver_installments(read("installments_payments"), audits=audits),
-        silver.silver_previous_application(read("previous_application"), audits=audits),
+        job(*map(read, names), audits=audits)
+        for names, job in jobs.items()
+        if tables is None or {*names} & {*tables}
     ]
-    together([lambda tables=tables: target.publish(tables) for tables in built], at_once)
+    together([lambda made=made: target.publish(made) for made in built], at_once)
     if audits:
         target.write(audit_report(bronze.spark, audits), "quality_report")
 
 
-def build_gold(source: Layer, target: Layer, at_once: int = AT_ONCE) -> None:
-    """All dimensions and facts from the silver tables."""
-    read = source.read
-    jobs = [
-        lambda: gold.gold_application(read("application"), read("application_target")),
-        lambda: gold.gold_bureau(read("bureau"), read("bureau_balance")),
-        lambda: gold.gold_credit_card_balance(read("credit_card_balance")),
-        lambda: gold.gold_installments(read("installments_payments")),
-        lambda: gold.gold_previous_applications(read("previous_application")),
-        lambda: gold.gold_pos_cash_balance(read("pos_cash_balance")),
-    ]
-    together([lambda job=job: target.publish(job()) for job in jobs], at_once)
+def build_gold(
+    source: Layer, target: Layer, at_once: int = AT_ONCE, tables: Collection[str] | None = None
+) -> None:
+    """The dimensions and facts from the silver tables.
 
+    ``tables`` names the gold tables to build, instead of all.
+    """
+    jobs = {
+        gold.gold_application: ("application", "application_target"),
+        gold.gold_bureau: ("bureau", "bureau_balance"),
+        gold.gold_credit_card_balance: ("credit_card_balance",),
+        gold.gold_installments: ("installments_payments",),
+        gold.gold_previous_applications: ("previous_application",),
+        gold.gold_pos_cash_balance: ("pos_cash_balance",),
+    }
+
+    def build(job, names: tuple[str, ...]) -> None:
+        # The stars run side by side, so each makes its dimensions one by one.
+        target.publish(job(*map(source.read, names), only=tables, at_once=1))
+
+    with scope(source.spark):
+        together([lambda job=job, n=names: build(job, n) for job, names in jobs.items()], at_once)
 
-def build_marts(source: Layer, target: Layer, at_once: int = AT_ONCE) -> None:
-    """The three summaries from silver, then the wide table from all of them."""
+
+def build_marts(
+    source: Layer, target: Layer, at_once: int = AT_ONCE, tables: Collection[str] | None = None
+) -> None:
+    """The three summaries from silver, then the wide table from all of them.
+
+    ``tables`` names the marts to build, instead of all; the wide table reads stored summaries.
+    """
     read = source.read
     summaries = {
         "mart_bureau_summary": lambda: marts.bureau_summary(read("bureau")),
@@ -99,8 +121,15 @@ def build_marts(source: Layer, target: Layer, at_once: int = AT_ONCE) -> None:
         "mart_payment_behavior": lambda: marts.payment_summary(read("installments_payments")),
     }
     together(
-        [lambda t=t, job=job: target.write(job(), t) for t, job in summaries.items()], at_once
+        [
+            lambda t=t, job=job: target.write(job(), t)
+            for t, job in summaries.items()
+            if tables is None or t in tables
+        ],
+        at_once,
     )
+    if tables is not None and "mart_master" not in tables:
+        return
     master = marts.mart_master(
         read("application"), read("application_target"), *[target.read(t) for t in summaries]
     )

@@ -120,6 +120,7 @@ SOURCE_TYPES = (
     ("code_*", "string"),
     ("weekday_*", "string"),
     ("organization_type", "string"),
+    ("occupation_type", "string"),
     ("channel_type", "string"),
     ("product_combination", "string"),
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from fnmatch import fnmatchcase
 from pathlib import PurePosixPath
@@ -59,18 +60,25 @@ def load_all(
 ) -> DataFrame:
     """Load files into bronze tables named after the file; report what happened.
 
-    A file that fails does not stop the others. The report is
-    ``(table, status, rows, error)`` with status ``loaded`` or ``failed``.
+    A table is named after its file without the last extension. Two files for
+    one table, also by letter case alone, are an error before anything is
+    loaded. A file that fails does not stop the others and leaves the table it
+    would have replaced. The report is ``(table, status, rows, error)`` with
+    status ``loaded`` or ``failed``.
     """
+    names = list_csv(spark, folder) if files is None else files
+    tables = {file: PurePosixPath(file).stem for file in names}
+    taken = Counter(t.lower() for t in map(tables.get, names))
+    if twice := sorted(f for f, t in tables.items() if taken[t.lower()] > 1):
+        raise ValueError(f"more than one file for a table: {', '.join(twice)}")
 
     def load(file: str) -> tuple[str, str, int | None, str | None]:
-        table = file.split(".")[0]
+        table = tables[file]
         try:
             bronze.write(load_csv(spark, f"{folder.rstrip('/')}/{file}"), table)
             return table, "loaded", bronze.read(table).count(), None
         except Exception as error:
             return table, "failed", None, str(error)
 
-    names = list_csv(spark, folder) if files is None else files
     report = together([lambda file=file: load(file) for file in names], at_once)
     return spark.createDataFrame(report, _REPORT)

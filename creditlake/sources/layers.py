@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ class Layer:
         """The whole stored table."""
         if self.path is not None:
             return self.spark.read.parquet(self._place(table))
-        return self.spark.table(f"{self.database}.{table}")
+        return self.spark.table(self._named(table))
 
     def write(
         self,
@@ -38,21 +39,71 @@ class Layer:
     ) -> None:
         """Store ``df`` in place of whatever is there.
 
+        The rows are written beside the old table, which is replaced only once
+        they are complete: a failure leaves it as it was.
         In a catalog, ``bucket_by`` with ``buckets`` stores the rows hashed and
         sorted by one column, so that later joins on it need no shuffle.
         """
-        writer = df.write.mode("overwrite")
-        if self.path is not None:
-            writer.parquet(self._place(table))
-            return
-        if bucket_by:
-            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-        writer.format("parquet").saveAsTable(f"{self.database}.{table}")
+        new, old = (f"{table}__{state}_{uuid.uuid4().hex}" for state in ("new", "old"))
+        try:
+            if self.path is not None:
+                df.write.parquet(self._place(new))
+            else:
+                writer = df.write.format("parquet")
+                if bucket_by:
+                    writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+                writer.saveAsTable(self._named(new))
+        except Exception:
+            self._drop(new)
+            raise
+        replaced = self._exists(table)
+        if replaced:
+            self._rename(table, old)
+        self._rename(new, table)
+        if replaced:
+            self._drop(old)
+
+    def publish(
+        self, tables: Mapping[str, DataFrame], buckets: Mapping[str, tuple[str, int]] | None = None
+    ) -> None:
+        """Store a set of tables, in their order.
 
-    def publish(self, tables: Mapping[str, DataFrame]) -> None:
-        """Store a set of tables, in their order."""
+        ``buckets`` gives tables of a catalog their bucketing column and count.
+        """
         for table, df in tables.items():
-            self.write(df, table)
+            self.write(df, table, *(buckets or {}).get(table, ()))
+
+    def _named(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
+
+    def _exists(self, table: str) -> bool:
+        if self.path is None:
+            return self.spark.catalog.tableExists(self._named(table))
+        files, (path,) = self._files(table)
+        return files.exists(path)
+
+    def _rename(self, table: str, other: str) -> None:
+        if self.path is None:
+            self.spark.sql(f"ALTER TABLE {self._named(table)} RENAME TO {self._named(other)}")
+            return
+        files, (here, there) = self._files(table, other)
+        if not files.rename(here, there):
+            raise OSError(f"cannot rename {here} to {there}")
+        # Files that were listed under the name before are gone.
+        for name in (table, other):
+            self.spark.catalog.refreshByPath(self._place(name))
+
+    def _drop(self, table: str) -> None:
+        if self.path is None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._named(table)}")
+            return
+        files, (path,) = self._files(table)
+        files.delete(path, True)
+
+    def _files(self, *tables: str) -> tuple:
+        context = self.spark.sparkContext
+        paths = [context._jvm.org.apache.hadoop.fs.Path(self._place(t)) for t in tables]
+        return paths[0].getFileSystem(context._jsc.hadoopConfiguration()), paths
 
     def _place(self, table: str) -> str:
         return f"{self.path.rstrip('/')}/{table}"

@@ -1,19 +1,25 @@
 """Intermediate tables in the shared checkpoint folder.
 
 A staged table is plain Parquet under the folder that the cluster names in
-``spark.checkpoint.dir``: it outlives lost executors, is read back column by
-column, and cuts the lineage.
+``spark.checkpoint.dir`` (or that ``SparkContext.setCheckpointDir`` set): it outlives lost executors, is read back column by
+column, and cuts the lineage. Tables staged inside a :func:`scope` go when it
+ends; all others when the driver does.
 """
 
 from __future__ import annotations
 
-import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _NAME = f"creditlake-{uuid.uuid4().hex}"
-_folders: dict[str, str] = {}
+_made: set[str] = set()
+_lock = threading.Lock()
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -22,32 +28,43 @@ def staging_folder(spark: SparkSession) -> str:
     It is deleted when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base and not spark.sparkContext.master.startswith("local"):
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    place = base or ""
-    if place not in _folders:
-        folder = f"{base.rstrip('/')}/{_NAME}" if base else tempfile.mkdtemp(prefix=_NAME)
+    folder = f"{base.rstrip('/')}/{_NAME}"
+    with _lock:
+        if folder not in _made:
+            files, path = _hadoop(spark, folder)
+            files.mkdirs(path)
+            files.deleteOnExit(path)
+            _made.add(folder)
+    return folder
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for all tables staged inside, deleted at the end, also after a failure.
+
+    Frames built on these tables end with it. Scopes of other builds and
+    tables staged before are not touched.
+    """
+    folder = f"{staging_folder(spark)}/scope-{uuid.uuid4().hex}"
+    outer = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(outer)
         files, path = _hadoop(spark, folder)
-        files.mkdirs(path)
-        files.deleteOnExit(path)
-        _folders[place] = folder
-    return _folders[place]
+        files.delete(path, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the staging folder and return it read back."""
+    """Write ``df`` to the staging folder, or the open scope's, and return it read back."""
     spark = df.sparkSession
-    path = f"{staging_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{_scope.get() or staging_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_staging(spark: SparkSession) -> None:
-    """Delete all tables staged by this process; frames built on them end here."""
-    files, path = _hadoop(spark, staging_folder(spark))
-    files.delete(path, True)
-
-
 def _hadoop(spark: SparkSession, folder: str) -> tuple:
     """The file system of ``folder`` and its path there."""
     context = spark.sparkContext

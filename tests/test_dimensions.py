@@ -116,3 +116,44 @@ def test_nan_matches_nan(spark):
     dimension = create_dimension(df, ["x"], "id")
     for limit in (None, -1):
         assert attach_key(df, dimension, broadcast_limit=limit).filter("id IS NULL").count() == 0
+
+
+def largest_share(spark, joined):
+    """The most rows in one task of the result, and all of them."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        counts = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return max(counts), sum(counts)
+
+
+def test_equal_hot_rows_part(spark):
+    df = skewed(spark).repartition(64, F.rand(3)).select("a", "b")
+    dimension = create_dimension(df, ["a", "b"], "id")
+    most, total = largest_share(spark, attach_key(df, dimension, broadcast_limit=-1))
+    assert total == 30000 and most < 8500
+
+
+def test_hot_keys_of_the_table_that_is_looked_up(spark):
+    names = spark.range(20000).selectExpr("id AS a")
+    dimension = create_dimension(names, ["a"], "id")
+    fact = spark.range(40000).selectExpr("IF(id % 2 = 0, 7, id % 20000) AS a").repartition(64, F.rand(3))
+    joined = attach_key(fact, dimension, broadcast_limit=-1)
+    assert joined.filter("id <> a").count() == 0
+    most, total = largest_share(spark, joined)
+    assert total == 40000 and most < 11000
+
+
+def test_a_lookup_reads_only_what_is_asked_for(spark, tmp_path):
+    spark.range(100).selectExpr("id AS a", "id AS unused", "id AS other").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    joined = attach_key(df, create_dimension(df, ["a"], "key"), broadcast_limit=-1).select("a", "key")
+    assert "unused" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["BINARY", "ARRAY<BIGINT>"])
+def test_large_values_are_not_broadcast(spark, kind):
+    value = {"BINARY": "CAST(repeat(CAST(id AS STRING), 50000) AS BINARY)", "ARRAY<BIGINT>": "array_repeat(id, 20000)"}[kind]
+    dimension = create_dimension(spark.range(200).selectExpr(f"{value} AS v"), ["v"], "key")
+    assert dimension.size > 10 << 20

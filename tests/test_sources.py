@@ -100,3 +100,44 @@ def test_database_layer_round_trip_and_buckets(spark):
 def test_a_layer_is_a_path_or_a_database(spark):
     with pytest.raises(ValueError):
         Layer(spark)
+
+
+def test_two_files_for_one_table_are_an_error_before_loading(spark, tmp_path):
+    write(tmp_path, "sales.2023.csv", "x\n1\n")
+    write(tmp_path, "sales.2024.csv", "x\n2\n")
+    bronze = Layer(spark, path=f"{tmp_path}/bronze")
+    assert {r["table"] for r in load_all(spark, str(tmp_path), bronze).collect()} == {"sales.2023", "sales.2024"}
+    assert rows(bronze.read("sales.2023")) == [(1,)] and rows(bronze.read("sales.2024")) == [(2,)]
+    other = Layer(spark, path=f"{tmp_path}/other")
+    with pytest.raises(ValueError, match="A.csv, a.csv"):
+        load_all(spark, str(tmp_path), other, ["a.csv", "A.csv"])
+    assert not (tmp_path / "other").exists()
+
+
+def failing(spark):
+    return spark.range(4).selectExpr("CAST(IF(id = 3, raise_error('late'), id) AS BIGINT) AS id")
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS replaced_test")
+    for layer in (Layer(spark, path=f"{tmp_path}/layer"), Layer(spark, database="replaced_test")):
+        layer.write(spark.range(2), "t")
+        with pytest.raises(Exception, match="late"):
+            layer.write(failing(spark), "t")
+        assert rows(layer.read("t")) == [(0,), (1,)]
+        layer.write(layer.read("t").selectExpr("id + 5 AS id"), "t")
+        assert rows(layer.read("t")) == [(5,), (6,)]
+    assert [p.name for p in (tmp_path / "layer").iterdir()] == ["t"]
+    assert [t.name for t in spark.catalog.listTables("replaced_test")] == ["t"]
+
+
+def test_publish_with_buckets(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS buckets_test")
+    layer = Layer(spark, database="buckets_test")
+    layer.publish({"a": spark.range(10), "b": spark.range(3)}, {"a": ("id", 4)})
+    assert "Num Buckets" in {r["col_name"] for r in spark.sql("DESCRIBE EXTENDED buckets_test.a").collect()}
+
+
+def test_every_public_text_column_has_a_rule():
+    for column in ("OCCUPATION_TYPE", "ORGANIZATION_TYPE", "NAME_EDUCATION_TYPE", "WEEKDAY_APPR_PROCESS_START", "CODE_GENDER"):
+        assert source_type(column) == "string"

@@ -2,29 +2,64 @@ import os
 
 import pytest
 
-from creditlake import staging
+from creditlake import Layer, staging
+from creditlake.jobs import together
+from creditlake.operators.dimensions import create_dimension
+from creditlake.operators.profiling import box_stats
+from creditlake.plans.pipeline import build_gold
+
+
+def staged(spark):
+    return sorted(os.listdir(staging.staging_folder(spark)))
 
 
 def test_staged_tables_are_in_the_checkpoint_folder_and_read_back(spark):
     df = spark.range(10).selectExpr("id", "CAST(id AS STRING) AS s")
-    staged = staging.stage(df)
-    assert staged.dtypes == df.dtypes
-    assert staged.exceptAll(df).isEmpty()
+    kept = staging.stage(df)
+    assert kept.dtypes == df.dtypes
+    assert kept.exceptAll(df).isEmpty()
     folder = staging.staging_folder(spark)
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
-    assert all(folder in f for f in staged.inputFiles())
+    assert all(folder in f for f in kept.inputFiles())
+
+
+def test_a_scope_takes_only_its_own_tables_with_it(spark):
+    before = staging.stage(spark.range(3))
+    with staging.scope(spark) as folder:
+        inside = together([lambda: staging.stage(spark.range(4)), lambda: staging.stage(spark.range(5))], 2)
+        assert all(folder in f for df in inside for f in df.inputFiles())
+        assert [df.count() for df in inside] == [4, 5]
+    assert not os.path.exists(folder)
+    assert before.count() == 3
+
+
+def test_a_failed_scope_leaves_nothing(spark):
+    before = staged(spark)
+    with pytest.raises(ZeroDivisionError), staging.scope(spark):
+        staging.stage(spark.range(3))
+        raise ZeroDivisionError
+    assert staged(spark) == before
 
 
-def test_clearing_leaves_the_folder_usable(spark):
-    staging.stage(spark.range(3))
-    staging.clear_staging(spark)
-    assert not os.path.exists(staging.staging_folder(spark))
-    assert staging.stage(spark.range(4)).count() == 4
+def test_a_dimension_outlives_a_build_and_a_failed_build_leaves_nothing(spark, tmp_path):
+    dimension = create_dimension(spark.range(5), ["id"], "key")
+    before = staged(spark)
+    empty = Layer(spark, path=f"{tmp_path}/silver")
+    with pytest.raises(Exception):
+        build_gold(empty, Layer(spark, path=f"{tmp_path}/gold"))
+    assert staged(spark) == before
+    assert dimension.frame.count() == 5
 
 
-def test_a_cluster_without_a_checkpoint_folder_is_an_error(spark, monkeypatch):
+def test_box_stats_leaves_nothing(spark):
+    before = staged(spark)
+    assert box_stats(spark.range(9).selectExpr("CAST(id AS DOUBLE) AS v"), "v").first()["q50"] == 4
+    assert staged(spark) == before
+
+
+def test_without_a_folder_staging_is_an_error():
     class Context:
-        master = "spark://somewhere:7077"
+        master = "local[2]"
 
         def getCheckpointDir(self):
             return None
@@ -35,3 +70,14 @@ def test_a_cluster_without_a_checkpoint_folder_is_an_error(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.staging_folder(Session())
+
+
+def test_the_first_failure_stops_what_has_not_started():
+    ran = []
+
+    def fail():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        together([fail, *[lambda k=k: ran.append(k) for k in range(50)]], 1)
+    assert len(ran) < 50

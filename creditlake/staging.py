@@ -8,6 +8,7 @@ ends; all others when the driver does.
 
 from __future__ import annotations
 
+import gc
 import threading
 import uuid
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 _NAME = f"creditlake-{uuid.uuid4().hex}"
 _made: set[str] = set()
 _lock = threading.Lock()
-_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -45,23 +46,31 @@ def scope(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for all tables staged inside, deleted at the end, also after a failure.
 
     Frames built on these tables end with it. Scopes of other builds and
-    tables staged before are not touched.
+    tables staged before are not touched. Shuffle files of the jobs inside go as
+    well: Spark deletes them once the driver has collected their plans, which a
+    driver with memory to spare would put off.
     """
     folder = f"{staging_folder(spark)}/scope-{uuid.uuid4().hex}"
-    outer = _scope.set(folder)
+    outer = _scopes.set((*_scopes.get(), folder))
     try:
         yield folder
     finally:
-        _scope.reset(outer)
+        _scopes.reset(outer)
         files, path = _hadoop(spark, folder)
         files.delete(path, True)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the staging folder, or the open scope's, and return it read back."""
+def stage(df: DataFrame, outlive: bool = False) -> DataFrame:
+    """Write ``df`` to the staging folder, or the open scope's, and return it read back.
+
+    With ``outlive`` it belongs to what encloses the open scope.
+    """
     spark = df.sparkSession
-    path = f"{_scope.get() or staging_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    scopes = _scopes.get()[:-1] if outlive else _scopes.get()
+    path = f"{scopes[-1] if scopes else staging_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,7 @@ from creditlake.operators import quality as Q
 from creditlake.operators.behavior import behavior
 from creditlake.operators.dimensions import attach_key, create_dimension
 from creditlake.plans import gold, marts, silver, stars
+from creditlake.sources.csv import load_all
 from creditlake.settings import INSURED_LABELS, LEGACY_SEVERITY, SEVERITY, STATUS_LABELS
 from creditlake.staging import stage, staging_folder
 
@@ -85,12 +86,13 @@ def _rounded(df: DataFrame, columns: Sequence[str], places: int = 4) -> DataFram
 
 @query
 def lower_columns(spark, sf):
-    return C.lower_columns(source(spark, sf, "application_train"))
+    train, test = (source(spark, sf, f"application_{n}") for n in ("train", "test"))
+    return C.lower_columns(train.drop("TARGET").unionByName(test))
 
 
 @query
 def project_fact(spark, sf):
-    return _train(spark, sf).select("sk_id_curr", "amt_credit", "amt_annuity", "ext_source_1")
+    return _everyone(spark, sf).select("sk_id_curr", "amt_credit", "amt_annuity", "ext_source_1")
 
 
 @query
@@ -516,6 +518,41 @@ def attach_key_shuffled_equal(spark, sf):
     return keyed.select("sk_id_bureau", *natural, "pair_id")
 
 
+@query
+def attach_key_hot_equal_rows(spark, sf):
+    """Narrow rows, most of them equal to many others, in a dimension too large to broadcast."""
+    df = _raw(spark, sf, "bureau_balance").select("status", "months_balance")
+    dimension = create_dimension(df, ["status", "months_balance"], "pair_id")
+    return attach_key(df, dimension, broadcast_limit=-1)
+
+
+@query
+def attach_key_other_table(spark, sf):
+    """The lookup in a dimension whose keys are rare where it was counted and frequent in the fact."""
+    customers = given(spark, sf, "customer").selectExpr("c_custkey % 40 AS code", "c_custkey AS customer")
+    dimension = create_dimension(customers, ["code"], "code_id")
+    lines = given(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "IF(l_linenumber < 4, 7, l_orderkey % 60) AS code")
+    return attach_key(lines, dimension, broadcast_limit=-1)
+
+
+@query
+def load_report(spark, sf):
+    """What loading a folder reports: three given tables as files, and one with a value that does not fit."""
+    folder = f"{staging_folder(spark)}/files-{uuid.uuid4().hex}"
+    tables = {name: given(spark, sf, name) for name in ("region", "nation", "supplier")}
+    tables["broken"] = tables["nation"].selectExpr("n_nationkey AS sk_id_curr", "n_name AS target")
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = jvm.Path(folder)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, table in tables.items():
+        table.coalesce(1).write.csv(f"{folder}/parts/{name}", header=True)
+        (part,) = files.globStatus(jvm.Path(f"{folder}/parts/{name}/part-*"))
+        files.mkdirs(jvm.Path(f"{folder}/in"))
+        files.rename(part.getPath(), jvm.Path(f"{folder}/in/{name}.csv"))
+    report = load_all(spark, f"{folder}/in", Layer(spark, path=f"{folder}/bronze"))
+    return report.select("table", "status", "rows")
+
+
 # Silver jobs
 
 

@@ -6,9 +6,10 @@ else is removed. Texts are taken as UTF-8 bytes; strings never cross texts.
 1. Each start of a string gets an anchor: its ``GRAM``-byte substring of least
    hash, the leftmost among equals. Equal strings have equal anchors at the
    same place, and neighbouring starts share one, so a text becomes runs of
-   starts. Anchors of a single run cannot hold a repeated string and are dropped.
-2. The remaining runs become pieces of text. Equal pieces are counted and kept
-   once, so copies never gather in a task.
+   starts. Anchors of a single run cannot hold a repeated string and are dropped;
+   if all runs of an anchor are equal to the last byte, all their starts are marked.
+2. The runs of the other anchors become pieces of text. Equal pieces are counted
+   and kept once, so copies never gather in a task.
 3. Pieces are dealt out by anchor. A task takes anchors until a shard is full,
    sorts the suffixes of the shard by external induced sorting
    (:mod:`creditlake.llm.induced`), and marks the starts that share ``LENGTH`` bytes with another
@@ -34,14 +35,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+from xxhash import xxh3_64_intdigest
 
 from creditlake.llm.induced import repeats
-from creditlake.staging import stage
+from creditlake.staging import scope, stage
 
 LENGTH = 200
-GRAM = 64
-# Bytes of a block of text and of a shard, and pieces of an anchor.
+GRAM = 32
+# Bytes of a block of text.
 BLOCK = 1 << 19
+# Pieces that are handed on together.
+PIECES = 4_000
+# Bytes of a shard, and the most different pieces of an anchor in one.
 SHARD_BYTES = 4 << 20
 CROWD = 30_000
 
@@ -54,15 +59,32 @@ _PLACE = np.uint64((1 << 21) - 1)
 def spans(docs: DataFrame) -> DataFrame:
     """``k1``, ``k2`` (the hashes of a text) and the ``spans`` to remove from it, for texts that have some."""
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(*_keys(), "text")
-    runs = stage(rows.filter(F.octet_length("text") >= LENGTH).mapInArrow(_find_runs, _RUNS))
-    shared = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    wanted = runs.join(shared, "anchor").groupBy("k1", "k2")
-    wanted = wanted.agg(F.collect_set(F.struct("start", "starts", "anchor")).alias("runs"))
-    texts = rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    cut = texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "copies", F.col("text").cast("binary").alias("data"), "runs")
-    pieces = cut.mapInArrow(_cut_pieces, _PIECES)
-    pieces = stage(pieces.select("*", F.xxhash64("piece").alias("a"), F.xxhash64(F.lit(1), "piece").alias("b")))
-
+    with scope(docs.sparkSession):
+        runs = stage(rows.filter(F.octet_length("text") >= LENGTH).mapInArrow(_find_runs, _RUNS))
+        shared = runs.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("hash") < F.max("hash")).alias("mixed"))
+        wanted = runs.join(shared.filter("n > 1").select("anchor", "mixed"), "anchor")
+        wanted = wanted.select("k1", "k2", F.struct("start", "starts", F.when(F.col("mixed"), F.col("anchor")).alias("anchor")).alias("run"))
+        wanted = stage(wanted.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), outlive=True)
+        del runs, shared
+    mixed = wanted.select("k1", "k2", F.filter("runs", lambda r: r["anchor"].isNotNull()).alias("runs")).filter(F.size("runs") > 0)
+    with scope(docs.sparkSession):
+        texts = rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+        cut = texts.join(mixed, ["k1", "k2"]).select("k1", "k2", "copies", F.col("text").cast("binary").alias("data"), "runs")
+        pieces = cut.mapInArrow(_cut_pieces, _PIECES)
+        pieces = stage(pieces.select("*", F.xxhash64("piece").alias("a"), F.xxhash64(F.lit(1), "piece").alias("b")), outlive=True)
+        del texts, cut
+    with scope(docs.sparkSession):
+        found = _marked_starts(pieces).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "begins", "ends")).alias("marks"))
+        found = stage(found, outlive=True)
+    same = F.filter("runs", lambda r: r["anchor"].isNull())
+    whole = F.transform(same, lambda r: F.struct(r["start"].alias("start"), F.array(F.lit(0)).alias("begins"), F.array(r["starts"]).alias("ends")))
+    both = wanted.select("k1", "k2", whole.alias("marks")).filter(F.size("marks") > 0).union(found)
+    both = both.groupBy("k1", "k2").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    return both.mapInArrow(_merge_marks, "k1 bigint, k2 bigint, spans array<struct<begin:bigint,end:bigint>>")
+
+
+def _marked_starts(pieces: DataFrame) -> DataFrame:
+    """``k1``, ``k2``, ``start`` of pieces with the runs of repeated starts in them."""
     kinds = pieces.groupBy("anchor", "a", "b").agg(F.first("piece").alias("piece"), F.sum("copies").alias("copies"))
     kinds = stage(kinds)
     crowds = kinds.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("anchor")
@@ -70,9 +92,7 @@ def spans(docs: DataFrame) -> DataFrame:
     marks = sorted_.select("anchor", "a", "b", "piece", "copies").mapInArrow(_sort_shards, _MARKS)
     marks = marks.union(_count_strings(kinds.join(crowds, "anchor", "left_semi")))
 
-    found = pieces.select("k1", "k2", "start", "a", "b").join(marks, ["a", "b"])
-    found = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "begins", "ends")).alias("marks"))
-    return found.mapInArrow(_merge_marks, "k1 bigint, k2 bigint, spans array<struct<begin:bigint,end:bigint>>")
+    return pieces.select("k1", "k2", "start", "a", "b").join(marks, ["a", "b"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -105,7 +125,7 @@ def _keys(text: Column | str = "text") -> list[Column]:
 
 # 1. Runs of starts with one anchor.
 
-_RUNS = "k1 bigint, k2 bigint, anchor bigint, start bigint, starts int"
+_RUNS = "k1 bigint, k2 bigint, anchor bigint, hash bigint, start bigint, starts int"
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,8 +190,12 @@ def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs_batch(held) -> pa.RecordBatch:
     owner, anchor, first, starts = runs_of([b[3] for b in held])
     k1, k2, at = (np.array([b[i] for b in held], np.int64) for i in range(3))
-    columns = [k1[owner], k2[owner], anchor, at[owner] + first, starts]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "anchor", "start", "starts"])
+    # The hash of a run's whole text, beside that of its anchor.
+    ends = (first + starts + LENGTH - 1).tolist()
+    places = zip(owner.tolist(), first.tolist(), ends)
+    hashes = np.array([xxh3_64_intdigest(held[i][3][a:b]) for i, a, b in places], np.uint64).view(np.int64)
+    columns = [k1[owner], k2[owner], anchor, hashes, at[owner] + first, starts]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "anchor", "hash", "start", "starts"])
 
 
 # 2. Pieces.
@@ -180,15 +204,29 @@ _PIECES = "k1 bigint, k2 bigint, start bigint, anchor bigint, copies bigint, pie
 
 
 def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["k1", "k2", "start", "anchor", "copies", "piece"]
+    kinds = [*[pa.int64()] * 5, pa.binary()]
+    held: list[list] = [[] for _ in names]
+
+    def flush() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds)], names)
+        for column in held:
+            column.clear()
+        return made
+
     for batch in batches:
-        for i in range(batch.num_rows):
+        keys = zip(*(batch.column(k).to_pylist() for k in range(3)))
+        for i, (k1, k2, copies) in enumerate(keys):
             data = batch.column(3)[i].as_py()
-            runs = batch.column(4)[i].values
-            start, starts, anchor = (runs.field(k) for k in range(3))
-            pieces = [data[s : s + n + LENGTH - 1] for s, n in zip(start.to_pylist(), starts.to_pylist())]
-            same = [pa.array(np.full(len(pieces), batch.column(k)[i].as_py(), np.int64)) for k in range(3)]
-            columns = [same[0], same[1], start, anchor, same[2], pa.array(pieces, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "start", "anchor", "copies", "piece"])
+            start, starts, anchor = (batch.column(4)[i].values.field(k).to_pylist() for k in range(3))
+            n = len(start)
+            pieces = [data[s : s + k + LENGTH - 1] for s, k in zip(start, starts)]
+            for column, values in zip(held, ([k1] * n, [k2] * n, start, anchor, [copies] * n, pieces)):
+                column.extend(values)
+            if len(held[0]) >= PIECES:
+                yield flush()
+    if held[0]:
+        yield flush()
 
 
 # 3. Marked starts.

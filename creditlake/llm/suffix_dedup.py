@@ -62,7 +62,9 @@ def spans(docs: DataFrame) -> DataFrame:
     with scope(docs.sparkSession):
         runs = stage(rows.filter(F.octet_length("text") >= LENGTH).mapInArrow(_find_runs, _RUNS))
         shared = runs.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("hash") < F.max("hash")).alias("mixed"))
-        wanted = runs.join(shared.filter("n > 1").select("anchor", "mixed"), "anchor")
+        # Written, so that the join has a shuffle on either side and splits a frequent anchor.
+        shared = stage(shared.filter("n > 1").select("anchor", "mixed"))
+        wanted = runs.join(shared, "anchor")
         wanted = wanted.select("k1", "k2", F.struct("start", "starts", F.when(F.col("mixed"), F.col("anchor")).alias("anchor")).alias("run"))
         wanted = stage(wanted.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), outlive=True)
         del runs, shared

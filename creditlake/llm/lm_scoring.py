@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ VOCABULARY = 1_024
 ROUNDS = 2
 FAN_IN = 16
 # Tokens of the documents that run side by side, and words a task counts before it hands them on.
-TOGETHER = 800_000
+TOGETHER = 2_000_000
 COUNTED = 400_000
 
 # The end of a document; no word holds a line feed.
@@ -145,13 +146,13 @@ def _ranks(lexicon) -> dict[bytes, int]:
     return {w: i for i, w in enumerate(lexicon.value[0])}
 
 
-def _encoded(ranks: dict, end: int, text: str | None, size: int) -> tuple[np.ndarray, list[bytes]]:
+def _encoded(ranks: dict, end: int, text: str | None) -> tuple[np.ndarray, list[bytes]]:
     """Ranks of a text's tokens (-1 beyond the head) and the words beyond it."""
     found = words(text)
-    ids = [ranks.get(w, -1) for w in found]
-    rare = [w for w, i in zip(found, ids) if i < 0] if -1 in ids else []
-    ids.append(end)
-    return np.array(ids, np.int64), rare
+    ids = np.empty(len(found) + 1, np.int32)
+    ids[:-1] = np.fromiter(map(ranks.get, found, repeat(-1)), np.int32, len(found))
+    ids[-1] = end
+    return ids, [found[i] for i in np.flatnonzero(ids[:-1] < 0).tolist()]
 
 
 def _for_model(ids: np.ndarray, size: int) -> np.ndarray:
@@ -195,7 +196,7 @@ def _copies(lexicon, shared):
         held, tokens = [], 0
         for batch in batches:
             for text in batch.column(0):
-                ids = _encoded(ranks, end, text.as_py(), size)[0]
+                ids = _encoded(ranks, end, text.as_py())[0]
                 held.append(_for_model(ids, size))
                 tokens += len(ids)
                 if tokens >= TOGETHER:
@@ -238,7 +239,7 @@ def _scorer(lexicon, model):
         held, tokens = [], 0
         for batch in batches:
             for doc, learn, text in zip(*(batch.column(i) for i in range(3))):
-                ids, rare = _encoded(ranks, end, text.as_py(), size)
+                ids, rare = _encoded(ranks, end, text.as_py())
                 held.append((doc.as_py(), learn.as_py(), ids, rare))
                 tokens += len(ids)
                 if tokens >= TOGETHER:

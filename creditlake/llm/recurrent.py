@@ -133,25 +133,33 @@ def backward(p: Parameters, previous, fresh, targets, state):
     g_hidden = np.zeros_like(hidden)
     g_hidden[live] = g_live
     # Gradients of the gates: of what the input gave and of what the state gave.
+    befores, updates, resets, candidates, inners = (np.stack(x) for x in zip(*steps))
+    by_update = (befores - candidates) * updates
+    by_candidate = 1 - candidates * candidates
+    by_reset = inners * resets * (1 - resets)
+    rests = 1 - updates
     given = np.empty((*previous.shape, 3 * h), hidden.dtype)
-    own = np.empty_like(given)
-    befores = np.empty_like(hidden)
     carried = np.zeros_like(state)
-    back = np.ascontiguousarray(p["back"].T)
+    back_gates = np.ascontiguousarray(p["back"][:, : 2 * h].T)
+    back_inner = np.ascontiguousarray(p["back"][:, 2 * h :].T)
+    restart = fresh.any(1)
     for t in range(len(targets) - 1, -1, -1):
-        before, update, reset, candidate, inner = steps[t]
-        g = g_hidden[t] + carried
-        rest = g * (1 - update)
-        g_candidate = rest * (1 - candidate * candidate)
-        given[t, :, :h] = rest * (before - candidate) * update
-        given[t, :, h : 2 * h] = g_candidate * inner * reset * (1 - reset)
-        given[t, :, 2 * h :] = g_candidate
-        own[t, :, : 2 * h] = given[t, :, : 2 * h]
-        own[t, :, 2 * h :] = g_candidate * reset
-        befores[t] = before
-        carried = g * update + own[t] @ back
-        if fresh[t].any():
+        g = g_hidden[t]
+        g += carried
+        rest = g * rests[t]
+        now = given[t]
+        candidate = now[:, 2 * h :]
+        np.multiply(rest, by_candidate[t], out=candidate)
+        np.multiply(rest, by_update[t], out=now[:, :h])
+        np.multiply(candidate, by_reset[t], out=now[:, h : 2 * h])
+        carried = now[:, : 2 * h] @ back_gates
+        carried += (candidate * resets[t]) @ back_inner
+        g *= updates[t]
+        carried += g
+        if restart[t]:
             carried *= ~fresh[t][:, None]
+    own = given.copy()
+    own[..., 2 * h :] *= resets
     g_back = befores.reshape(-1, h).T @ own.reshape(-1, 3 * h)
     g_table = np.zeros_like(table)
     tokens = np.where(previous < 0, len(table) - 1, previous).ravel()
@@ -181,7 +189,10 @@ def _previous(ids, owner, at, n) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def _forward(p, table, previous, fresh, state, keep):
@@ -202,41 +213,58 @@ def _forward(p, table, previous, fresh, state, keep):
     return hidden, state, steps
 
 
+def _exponentials(logits):
+    """Exponentials of the logits and their sums by row; large logits are moved, which is rarely needed."""
+    if len(logits) and logits.max() > 60:
+        logits -= logits.max(1, keepdims=True)
+    e = np.exp(logits)
+    sums = e @ np.ones(e.shape[1], e.dtype)
+    if len(logits) and sums.min() < 1e-20:
+        logits -= logits.max(1, keepdims=True)
+        e = np.exp(logits)
+        sums = e.sum(1)
+    return e, sums
+
+
 def _log_probability(p, hidden, targets, gradients=False):
     """Log probability of each target after its state; with gradients of the negative sum."""
     outside = len(p["embed"]) - 1
     last = p["classes"].shape[1] - 1
     of = np.where(targets == outside, last, targets // WIDTH)
-    at = np.arange(len(targets))
+    # In the order of classes, so that each is a slice.
+    order = np.argsort(of, kind="stable")
+    of, within, hidden = of[order], (targets % WIDTH)[order], hidden[order]
+    cuts = np.searchsorted(of, np.arange(last + 1)).tolist()
+    at = np.arange(len(of))
     logits = hidden @ p["classes"] + p["class_bias"]
-    logits -= logits.max(1, keepdims=True, initial=-1e30)
-    e = np.exp(logits)
-    sums = e.sum(1)
-    found = (logits[at, of] - np.log(sums)).astype(np.float64)
+    e, sums = _exponentials(logits)
+    # Rounding may lift a certain choice a little above probability 1.
+    found = np.minimum(logits[at, of] - np.log(sums), 0)
     out, g_hidden = {}, None
     if gradients:
-        g = e / sums[:, None]
-        g[at, of] -= 1
-        out = {"classes": hidden.T @ g, "class_bias": g.sum(0)}
+        e /= sums[:, None]
+        e[at, of] -= 1
+        out = {"classes": hidden.T @ e, "class_bias": e.sum(0)}
         out |= {"words": np.zeros_like(p["words"]), "word_bias": np.zeros_like(p["word_bias"])}
-        g_hidden = g @ p["classes"].T
-    order = np.argsort(of, kind="stable")
-    cuts = np.searchsorted(of[order], np.arange(last + 1))
+        g_hidden = e @ p["classes"].T
     for c in range(last):
-        rows = order[cuts[c] : cuts[c + 1]]
-        if not len(rows):
+        rows, own = slice(cuts[c], cuts[c + 1]), slice(c * WIDTH, (c + 1) * WIDTH)
+        if rows.start == rows.stop:
             continue
-        own = slice(c * WIDTH, (c + 1) * WIDTH)
-        words = hidden[rows] @ p["words"][own].T + p["word_bias"][own]
-        words -= words.max(1, keepdims=True)
-        e = np.exp(words)
-        sums = e.sum(1)
-        within = targets[rows] - c * WIDTH
-        found[rows] += words[np.arange(len(rows)), within] - np.log(sums)
+        here, picked = at[: rows.stop - rows.start], within[rows]
+        logits = hidden[rows] @ p["words"][own].T + p["word_bias"][own]
+        e, sums = _exponentials(logits)
+        found[rows] += np.minimum(logits[here, picked] - np.log(sums), 0)
         if gradients:
-            g = e / sums[:, None]
-            g[np.arange(len(rows)), within] -= 1
-            out["words"][own] += g.T @ hidden[rows]
-            out["word_bias"][own] += g.sum(0)
-            g_hidden[rows] += g @ p["words"][own]
-    return found, out, g_hidden
+            e /= sums[:, None]
+            e[here, picked] -= 1
+            out["words"][own] += e.T @ hidden[rows]
+            out["word_bias"][own] += e.sum(0)
+            g_hidden[rows] += e @ p["words"][own]
+    scores = np.empty(len(found))
+    scores[order] = found
+    if gradients:
+        back = np.empty_like(g_hidden)
+        back[order] = g_hidden
+        g_hidden = back
+    return scores, out, g_hidden

@@ -4,12 +4,15 @@ Documents become pieces of at most ``capacity`` tokens. How many pieces have
 each length is all that the packing looks at, so its size depends on the
 capacity and not on the corpus:
 
-1. patterns of one to three pieces that fill a sequence exactly, or nearly,
-   are enumerated from the lengths that occur;
+1. patterns of two to four pieces that fill a sequence exactly, or nearly
+   (a share of ``WASTE`` may stay free), are enumerated from the lengths that occur;
 2. non-negative least squares finds how often to repeat each pattern so that
    the histogram of lengths comes out; the counts are rounded to what is left;
 3. what remains is packed best fit decreasing, all pieces of one length at a
-   time.
+   time, into the free space of the chosen patterns as well as into new sequences.
+
+The plan with the fewest sequences is taken, of one for each share of waste and
+one by best fit decreasing alone.
 
 The result is a table of slots: for each length, which ranks go to which
 sequences and where. Pieces get their rank among those of their length from
@@ -38,8 +41,11 @@ from creditlake.staging import stage
 
 CAPACITY = 2048
 # Patterns tried, and sweeps of the fit.
-PATTERNS_PER_LENGTH = 8
-SWEEPS = 30
+PATTERNS_PER_LENGTH = 24
+SWEEPS = 60
+# Shares of a sequence that patterns of the fit may leave free, each tried. Few
+# lengths may have none but wasteful ones.
+WASTE = (0.0, 1 / 64, 1.0)
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, rank bigint"
 
@@ -148,13 +154,22 @@ def plan(histogram: np.ndarray, capacity: int) -> list[tuple[int, int, int, int,
 
     if left[capacity]:
         put((capacity,), int(left[capacity]))
+    plans = [residual(left, capacity)]
     found = patterns(left, capacity)
-    for pattern, times in zip(found, fit(found, left, capacity)):
-        lengths, each = np.unique(pattern, return_counts=True)
-        times = min(int(times), int((left[lengths] // each).min()))
-        if times > 0:
-            put(pattern, times)
-    for pattern, times in residual(left, capacity):
+    least = -(-int((left * np.arange(capacity + 1)).sum()) // capacity)
+    for waste in WASTE:
+        if min(sum(times for _, times in made) for made in plans) == least:
+            break
+        full = [p for p in found if sum(p) >= capacity * (1 - waste)]
+        rest, chosen = left.copy(), []
+        for pattern, times in zip(full, fit(full, left, capacity)):
+            lengths, each = np.unique(pattern, return_counts=True)
+            times = min(int(times), int((rest[lengths] // each).min()))
+            if times > 0:
+                rest[lengths] -= each * times
+                chosen.append((pattern, times))
+        plans.append(residual(rest, capacity, chosen))
+    for pattern, times in min(plans, key=lambda made: sum(times for _, times in made)):
         put(pattern, times)
     return slots
 
@@ -197,7 +212,6 @@ def fit(found: list[tuple[int, ...]], histogram: np.ndarray, capacity: int) -> n
     """
     counts = np.zeros(len(found))
     residual_ = histogram[: capacity + 1].astype(float)
-    # Only patterns without waste take part while they can explain the histogram.
     rows = [tuple(zip(*np.unique(p, return_counts=True))) for p in found]
     weights = [float(sum(int(k) ** 2 for _, k in r)) for r in rows]
     steps = [(i, [(int(n), int(k)) for n, k in r], w) for i, (r, w) in enumerate(zip(rows, weights))]
@@ -217,14 +231,20 @@ def fit(found: list[tuple[int, ...]], histogram: np.ndarray, capacity: int) -> n
     return np.floor(counts + 1e-9).astype(np.int64)
 
 
-def residual(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+def residual(
+    histogram: np.ndarray, capacity: int, chosen: list[tuple[tuple[int, ...], int]] | tuple = ()
+) -> list[tuple[tuple[int, ...], int]]:
     """Best fit decreasing over what is left, all pieces of a length at once.
 
     ``room`` holds, for each amount of free space, the open patterns with that
-    space and how many sequences have each.
+    space and how many sequences have each; at first those ``chosen`` before,
+    which are part of the result.
     """
     room: dict[int, list[list]] = {}
     free = np.zeros(capacity + 1, bool)
+    for pattern, times in chosen:
+        room.setdefault(capacity - sum(pattern), []).append([pattern, times])
+        free[capacity - sum(pattern)] = True
     for length in np.flatnonzero(histogram)[::-1]:
         length, n = int(length), int(histogram[length])
         while n > 0:

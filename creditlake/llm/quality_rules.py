@@ -11,7 +11,7 @@ Everything is DataFrame functions. Estimates are aggregates, combined before
 the shuffle, so a source with a third of all rows costs its group one line per
 task; rows meet their estimate under one of ``SPREAD`` salts. The statistics of
 a text stay inside its row. The same three-word windows within a text are found
-by 64-bit hashes (of which a long text keeps 62 minus a few bits).
+by 64-bit hashes.
 
 Groups of fewer than ``LEAST`` passing rows are judged together with the other
 small groups of their language; where these are too few, with those of all
@@ -39,19 +39,20 @@ STEPS = 4
 SPREAD = 16
 # Share of a group that its estimate rests on.
 NEAREST = 0.75
-# Chi-square with 5 degrees of freedom, at 0.975 and 0.999999, and
+# Chi-square with 5 degrees of freedom, at 0.975 and 0.999, and
 # the factor that makes the covariance of the nearest 75 % that of the whole.
 REWEIGHT = 12.83
-CUTOFF = 37.5
+CUTOFF = 20.52
 CONSISTENCY = 1.41
 
-# The statistics and the deviation of each that is never called unusual.
+# The statistics and the deviation that is added to each one's spread, so that
+# no covariance is singular where most texts have the same value.
 STATISTICS = {
-    "log of words": (lambda: F.log1p("n_words"), 0.5),
-    "log of word length": (lambda: F.log(F.col("word_chars") / F.col("n_words")), 0.06),
-    "root of symbol share": (lambda: F.sqrt(F.col("n_symbols") / F.col("word_chars")), 0.03),
-    "share of repeated lines": (lambda: F.sqrt(F.col("n_dup_lines") / F.col("n_lines")), 0.12),
-    "share of repeated words": (lambda: F.sqrt(F.col("n_repeat_words") / F.col("n_words")), 0.15),
+    "log of words": (lambda: F.log1p("n_words"), 0.05),
+    "log of word length": (lambda: F.log(F.col("word_chars") / F.col("n_words")), 0.02),
+    "root of symbol share": (lambda: F.sqrt(F.col("n_symbols") / F.col("word_chars")), 0.01),
+    "share of repeated lines": (lambda: F.sqrt(F.col("n_dup_lines") / F.col("n_lines")), 0.05),
+    "share of repeated words": (lambda: F.sqrt(F.col("n_repeat_words") / F.col("n_words")), 0.05),
 }
 _P = len(STATISTICS)
 _X = [f"x{i}" for i in range(_P)]
@@ -74,11 +75,12 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
     )
     n = F.col("n_words")
-    # A hash of the window with its place in the low digits: one sort brings
-    # equal windows together.
+    # Hashes of the windows with their places: one sort brings equal windows together.
     spots = F.transform(
         F.slice("words", 1, F.greatest(n.cast("int") - 2, F.lit(0))),
-        lambda w, i: _placed(F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)), i, n),
+        lambda w, i: F.struct(
+            F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)).alias("hash"), i.cast("bigint").alias("place")
+        ),
     )
     counted = split.select(
         "doc_id", "lang", "source", "words", "word_chars", "n_symbols",
@@ -87,13 +89,13 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
     )
     ordered = counted.select("*", F.sort_array(spots).alias("spots")).drop("words")
-    same = lambda a, b: (a - a % n) == (b - b % n)
+    same = lambda a, b: a["hash"] == b["hash"]
     twice = F.transform(
         "spots",
         lambda x, k: F.when(
             F.coalesce(same(x, F.get("spots", k + 1)), F.lit(False))
             | ((k > 0) & F.coalesce(same(x, F.get("spots", F.greatest(k - 1, F.lit(0)))), F.lit(False))),
-            x % n,
+            x["place"],
         ),
     )
     found = ordered.withColumn("at", F.sort_array(F.filter(twice, lambda x: x.isNotNull()))).drop("spots")
@@ -118,11 +120,6 @@ def judge(docs: DataFrame) -> DataFrame:
     )
 
 
-def _placed(hashed: Column, place: Column, n: Column) -> Column:
-    h = F.shiftrightunsigned(hashed, 2)
-    return h - h % n + place
-
-
 def _grouped(counted: DataFrame) -> DataFrame:
     """Rows with the group they are judged in as ``kin``, NULL where none is large enough."""
     text = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))

@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, language, line_dedup, lm_scoring, packing, quality_rules, simhash, suffix_dedup, token_files, topk
+from creditlake.llm import (
+    bpe, hard_negatives, language, line_dedup, lm_scoring, packing, quality_rules, simhash, suffix_dedup, token_files, topk,
+)
 from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
 
@@ -148,3 +150,37 @@ def op4_suffix_dedup(spark, sf_dir):
 def op6_lm_scoring(spark, sf_dir):
     """Every document's base score and score under the recurrent model."""
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"), fold("doc_id") != 1)
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """The ten hardest negatives of every hundredth vector and each of its five best of the same label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+SQL["op13_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS whole
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+        CAST(COALESCE(list_sum(list_transform(list_zip(a.whole, v.whole), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+    FROM v AS a JOIN v ON a.vec_id <> v.vec_id AND len(a.whole) = len(v.whole)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+    FROM positives AS p JOIN pairs AS n
+        ON p.anchor_id = n.anchor_id AND NOT n.same
+        AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from creditlake.llm import (
     bpe, hard_negatives, language, line_dedup, lm_scoring, packing, quality_rules, simhash, suffix_dedup, token_files, topk,
+    window_packing,
 )
 from creditlake.llm.common import fold, table
 from creditlake.staging import staging_folder
@@ -184,3 +185,10 @@ WITH v AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op11_window_packing(spark, sf_dir):
+    """All documents in sequences of 2048 tokens without padding, by fitted combinations of lengths."""
+    docs = table(spark, sf_dir, "documents")
+    return window_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)

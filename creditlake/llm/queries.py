@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditlake.llm import (
-    bpe, hard_negatives, language, line_dedup, lm_scoring, packing, quality_rules, simhash, suffix_dedup, token_files, topk,
+    bpe, hard_negatives, language, line_dedup, lm_scoring, packing, periodic_runs, quality_rules, simhash, suffix_dedup, token_files, topk,
     window_packing,
 )
 from creditlake.llm.common import fold, table
@@ -192,3 +193,39 @@ def op11_window_packing(spark, sf_dir):
     """All documents in sequences of 2048 tokens without padding, by fitted combinations of lengths."""
     docs = table(spark, sf_dir, "documents")
     return window_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def _words_with_a_period(doc_id: int | None, text: str | None) -> list[bytes]:
+    """The words; in a tenth of the documents they repeat one period from some place to the end."""
+    words = periodic_runs.split(doc_id, text)
+    code = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or code % 10 or not words:
+        return words
+    seed, n = code // 10, len(words)
+    first = seed % n
+    period = 1 + (n - first) // (3 + seed % 8)
+    return [*words[:first], *(words[first + i % period] for i in range(n - first))]
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Every document's periodic runs and its words without their repetitions."""
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), words=_words_with_a_period)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # More periods come first, and fractions are compared as whole numbers.
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b),
+    )
+    found = found.select("doc_id", "runs", "collapsed", lines.alias("lines"), best.alias("best"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.expr("1000 * best.length div best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 from creditlake.functions.columns import columns_like, null_above
 from creditlake.functions.scalars import is_missing
 from creditlake.settings import DAY_LIMIT
+from creditlake.staging import stage
 
 _ROW = "__row"
 _COPIES = "__copies"
+_WORD = "__word"
+_BITS = "__bits"
+
+# Repeated keys are marked in so many words of 64 bits: at most 10 MB in memory,
+# and with a million repeated keys one other key in 17 is taken for one.
+_WORDS = 1 << 18
 
 
 def dedup(
@@ -22,12 +29,12 @@ def dedup(
 
     Of several rows with the same key the smallest one by ``order_by`` and then
     by the other columns (NULL first) survives, so the result does not depend
-    on the input order. The minimum is combined before the shuffle: a key with
-    very many copies sends one row per task.
+    on the input order. Only rows whose key may be repeated are compared and
+    moved; see :func:`_one_per_key`.
     """
     if not keys:
         return df.dropDuplicates()
-    return _unpack(df, keys, _smallest(df, keys, order_by).drop(_COPIES))
+    return _one_per_key(df, keys, order_by).drop(_COPIES)
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -138,10 +145,42 @@ def _counts(df: DataFrame, limit: float) -> dict[tuple[str, str], Column]:
 def _kept(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
     """The rows that cleaning keeps, each with its number of copies."""
     if keys:
-        return _unpack(df, keys, _smallest(df, keys), _COPIES)
+        return _one_per_key(df, keys)
     return df.groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
 
 
+def _one_per_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """The smallest row of each key, with its number of copies.
+
+    The keys alone are counted by hash first. Repeated ones are marked in a table
+    of bits by their hash, whose size is bounded whatever the number of keys, so
+    every task can have it. Rows whose bit is not set have a key of their own:
+    they pass as they are, without a sort or a shuffle. The others go through a
+    minimum, which is right for all of them, and is combined before its shuffle: a
+    key with very many copies sends one row per task. Two keys on one bit cost a
+    little of that work, never a row.
+    """
+    df = _settled(df)
+    place = F.pmod(F.xxhash64(*keys), F.lit(64 * _WORDS).cast("bigint"))
+    bit = F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+    )
+    counted = df.groupBy(*keys).agg(F.count("*").alias(_COPIES)).filter(F.col(_COPIES) > 1)
+    marks = counted.groupBy(F.shiftright(place, 6).alias(_WORD)).agg(F.bit_or(bit).alias(_BITS))
+    marked = df.withColumn(_WORD, F.shiftright(place, 6)).join(F.broadcast(marks), _WORD, "left")
+    shared = F.coalesce(F.col(_BITS).bitwiseAND(bit) != 0, F.lit(False))
+    alone = marked.filter(~shared).select(*df.columns, F.lit(1).cast("bigint").alias(_COPIES))
+    compared = _smallest(marked.filter(shared).select(*df.columns), keys, order_by)
+    return alone.union(_unpack(df, keys, compared, _COPIES))
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """``df``, staged if reading it again could give other rows."""
+    return df if df._jdf.queryExecution().analyzed().deterministic() else stage(df)
+
+
 def _smallest(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
 ) -> DataFrame:

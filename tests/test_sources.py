@@ -1,3 +1,6 @@
+from dataclasses import replace
+from pathlib import Path
+
 import pytest
 from pyspark.sql import types as T
 
@@ -115,7 +118,7 @@ def test_two_files_for_one_table_are_an_error_before_loading(spark, tmp_path):
 
 
 def failing(spark):
-    return spark.range(4).selectExpr("CAST(IF(id = 3, raise_error('late'), id) AS BIGINT) AS id")
+    return spark.range(0, 4, 1, 1).selectExpr("CAST(IF(id = 3, raise_error('late'), id) AS BIGINT) AS id")
 
 
 def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
@@ -127,15 +130,109 @@ def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
         assert rows(layer.read("t")) == [(0,), (1,)]
         layer.write(layer.read("t").selectExpr("id + 5 AS id"), "t")
         assert rows(layer.read("t")) == [(5,), (6,)]
+    # The current version and the one before it; nothing of the failed one.
     assert [p.name for p in (tmp_path / "layer").iterdir()] == ["t"]
-    assert [t.name for t in spark.catalog.listTables("replaced_test")] == ["t"]
+    assert len(list((tmp_path / "layer" / "t").glob("data-*"))) == 2
+    names = [t.name for t in spark.catalog.listTables("replaced_test")]
+    assert sorted(names) == ["t", "t__v000001", "t__v000002"]
+
+
+@pytest.fixture
+def layers(spark, tmp_path):
+    name = f"versions_{tmp_path.name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    yield [Layer(spark, path=f"{tmp_path}/layer"), Layer(spark, database=name)]
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def versions(layer):
+    if layer.path:
+        return len(list(Path(layer.path, "t").glob("data-*")))
+    return len(layer._versions("t"))
+
+
+def test_a_switch_that_fails_leaves_the_old_table_and_the_next_write_clears_up(spark, layers, monkeypatch):
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    for layer in layers:
+        layer.write(spark.range(2), "t")
+        with monkeypatch.context() as patch:
+            patch.setattr(Layer, "_mark", killed)
+            patch.setattr(Layer, "_view", killed)
+            for _ in range(2):
+                with pytest.raises(KeyboardInterrupt):
+                    layer.write(spark.range(9), "t")
+        assert rows(layer.read("t")) == [(0,), (1,)]
+        assert versions(layer) == 3
+        layer.write(spark.range(3), "t")
+        assert layer.read("t").count() == 3
+        # The two that never became current are gone, the one before is kept.
+        assert versions(layer) == 2
+
+
+def test_a_first_write_that_fails_leaves_no_table(spark, layers):
+    for layer in layers:
+        with pytest.raises(Exception, match="late"):
+            layer.write(failing(spark), "t")
+        with pytest.raises(Exception):
+            layer.read("t").count()
+        layer.write(spark.range(1), "t")
+        assert layer.read("t").count() == 1
+
+
+def test_readers_that_have_begun_can_finish(spark, layers):
+    for layer in layers:
+        layer.write(spark.range(2), "t")
+        begun = layer.read("t")
+        layer.write(spark.range(7), "t")
+        assert begun.count() == 2 and layer.read("t").count() == 7
+        for n in range(3):
+            layer.write(spark.range(n), "t")
+        assert layer.read("t").count() == 2 and versions(layer) == 2
+
+
+@pytest.mark.parametrize("keep", [0, 2])
+def test_number_of_kept_versions(spark, layers, keep):
+    for layer in layers:
+        layer = replace(layer, keep=keep)
+        for n in range(4):
+            layer.write(spark.range(n), "t")
+        assert layer.read("t").count() == 3 and versions(layer) == keep + 1
+
+
+def test_plain_tables_from_elsewhere_are_read_and_replaced(spark, layers, monkeypatch):
+    folder, database = layers
+    spark.range(4).write.parquet(f"{folder.path}/t")
+    spark.range(4).write.saveAsTable(f"{database.database}.t")
+    for layer in layers:
+        assert layer.read("t").count() == 4
+    with monkeypatch.context() as patch:
+        patch.setattr(Layer, "_view", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            database.write(spark.range(9), "t")
+    assert database.read("t").count() == 4
+    for layer in layers:
+        for n in (5, 6, 7):
+            layer.write(spark.range(n), "t")
+            assert layer.read("t").count() == n
+        assert versions(layer) == 2
+    assert not list(Path(folder.path, "t").glob("*.parquet"))
+
+
+def test_location_is_where_others_read(spark, layers):
+    folder, database = layers
+    for layer in layers:
+        layer.write(spark.range(3), "t")
+    assert spark.read.parquet(folder.location("t")).count() == 3
+    assert spark.table(database.location("t")).count() == 3
 
 
 def test_publish_with_buckets(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS buckets_test")
     layer = Layer(spark, database="buckets_test")
     layer.publish({"a": spark.range(10), "b": spark.range(3)}, {"a": ("id", 4)})
-    assert "Num Buckets" in {r["col_name"] for r in spark.sql("DESCRIBE EXTENDED buckets_test.a").collect()}
+    assert "Num Buckets" in {r["col_name"] for r in spark.sql(f"DESCRIBE EXTENDED {layer.location('a')}").collect()}
 
 
 def test_every_public_text_column_has_a_rule():

@@ -370,6 +370,13 @@ oracle(
     f"{_day('days_birth', anchor=_leap)} AS from_leap_day, "
     f"{_day('days_birth', '%d.%m.%Y', _leap)} AS other_pattern FROM everyone",
 )
+oracle(
+    "offset_dates_today",
+    f"SELECT sk_id_curr, {_day('days_birth', anchor='current_date')} AS date_birth, "
+    f"{_day('days_registration', anchor='current_date')} AS date_registration, "
+    f"{_day('days_id_publish', '%Y/%m', 'current_date')} AS month_id_publish, "
+    f"{_day('cnt_children * 30', '%Y-%m', 'current_date')} AS months_ahead FROM everyone",
+)
 oracle(
     "offset_months",
     f"SELECT MONTHS_BALANCE AS months_balance, {_month('MONTHS_BALANCE')} AS year_month_balance, "
@@ -419,12 +426,14 @@ oracle(
 
 _balance_columns = "SK_ID_BUREAU AS sk_id_bureau, MONTHS_BALANCE AS months_balance, STATUS AS status"
 oracle("dedup_rows", f"SELECT DISTINCT {_balance_columns} FROM raw_bureau_balance")
-oracle("dedup_key", "SELECT * FROM one_each")
-oracle(
-    "dedup_order",
-    f"SELECT {_balance_columns} FROM raw_bureau_balance QUALIFY row_number() OVER "
-    "(PARTITION BY SK_ID_BUREAU ORDER BY MONTHS_BALANCE NULLS FIRST, STATUS NULLS FIRST) = 1",
-)
+for _name in ("dedup_key", "dedup_key_large"):
+    oracle(_name, "SELECT * FROM one_each")
+for _name in ("dedup_order", "dedup_order_large"):
+    oracle(
+        _name,
+        f"SELECT {_balance_columns} FROM raw_bureau_balance QUALIFY row_number() OVER "
+        "(PARTITION BY SK_ID_BUREAU ORDER BY MONTHS_BALANCE NULLS FIRST, STATUS NULLS FIRST) = 1",
+    )
 oracle(
     "duplicate_count",
     "SELECT 'row' AS scope, (SELECT count(*) FROM raw_bureau_balance) - "
@@ -642,7 +651,13 @@ ORACLE["load_report"] = " UNION ALL ".join(
 for _table in ("application", "bureau", "bureau_balance", "credit_card_balance", "pos_cash_balance",
                "installments_payments", "previous_application"):
     oracle(f"silver_{_table}", f"SELECT * FROM {_table}")
+    # Repeated rows change nothing.
+    oracle(f"silver_{_table}_repeated", f"SELECT * FROM {_table}")
 oracle("silver_application_target", "SELECT * FROM application_target")
+ORACLE["silver_application_changed"] = ORACLE["silver_application"].replace(views.SOURCES["application_test"], views.CHANGED)
+ORACLE["silver_application_ordered"] = ORACLE["silver_application_changed"].replace(
+    "PARTITION BY sk_id_curr ORDER BY ", "PARTITION BY sk_id_curr ORDER BY amt_income_total NULLS FIRST, "
+)
 
 # Gold jobs
 
@@ -723,4 +738,19 @@ FROM application AS a {join} JOIN application_target AS g ON a.sk_id_curr = g.sk
 
 oracle("mart_master", _master("INNER"))
 oracle("pipeline_mart_master", _master("INNER"))
+ORACLE["pipeline_fact_bureau"] = ORACLE["fact_bureau"]
+_whole_rows = {
+    "bureau": BUREAU, "bureau_balance": _names(views.BUREAU_BALANCE), "credit_card_balance": CARDS,
+    "pos_cash_balance": POS, "installments_payments": INSTALLMENTS, "previous_application": PREVIOUS,
+}
+oracle(
+    "pipeline_quality_report",
+    "\nUNION ALL ".join(
+        [_report("application", APPLICATION, "everyone", "one_each", f"SELECT {_copies('everyone', 'sk_id_curr')}")]
+        + [
+            _report(n, columns, f"raw_{n}", f"(SELECT DISTINCT * FROM raw_{n}) AS k", f"SELECT {_copies(f'raw_{n}', '*')}")
+            for n, columns in _whole_rows.items()
+        ]
+    ),
+)
 oracle("mart_master_everyone", _master("LEFT"))

@@ -14,7 +14,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import SOURCES, given, source
+from checks.views import CHANGED, SOURCES, given, repeated, source
 from creditlake import Layer, build_layers
 from creditlake.functions import columns as C
 from creditlake.functions import scalars as S
@@ -237,6 +237,18 @@ def offset_dates(spark, sf):
     )
 
 
+@query
+def offset_dates_today(spark, sf):
+    """Dates counted from the day of the run."""
+    return _everyone(spark, sf).select(
+        "sk_id_curr",
+        S.offset_to_date("days_birth", None).alias("date_birth"),
+        S.offset_date("days_registration", None).cast("string").alias("date_registration"),
+        S.offset_to_date("days_id_publish", None, "yyyy/MM").alias("month_id_publish"),
+        S.month_offset("cnt_children", None).alias("months_ahead"),
+    )
+
+
 @query
 def offset_months(spark, sf):
     df = _raw(spark, sf, "credit_card_balance")
@@ -320,6 +332,18 @@ def dedup_key(spark, sf):
     return Q.dedup(_everyone(spark, sf), ["sk_id_curr"])
 
 
+@query
+def dedup_key_large(spark, sf):
+    """As ``dedup_key``, the way that tables over the broadcast limit take."""
+    return Q.dedup(_everyone(spark, sf), ["sk_id_curr"], small=-1)
+
+
+@query
+def dedup_order_large(spark, sf):
+    df = _raw(spark, sf, "bureau_balance")
+    return Q.dedup(df, ["sk_id_bureau"], order_by=["months_balance"], small=-1)
+
+
 @query
 def dedup_order(spark, sf):
     df = _raw(spark, sf, "bureau_balance")
@@ -572,6 +596,40 @@ for _name in _SILVER:
     )
 
 
+def _silver_repeated(spark, sf, name):
+    """The silver table of a source with repeated rows: the same as without."""
+    (table,) = _SILVER[name](repeated(spark, sf, name)).values()
+    return table
+
+
+for _name in _SILVER:
+    QUERIES[f"silver_{_name.lower()}_repeated"] = partial(_silver_repeated, name=_name)
+
+
+@query
+def silver_application_repeated(spark, sf):
+    train, test = (repeated(spark, sf, f"application_{n}") for n in ("train", "test"))
+    return silver.silver_application(train, test)["application"]
+
+
+def _changed(spark, sf, **options):
+    train = source(spark, sf, "application_train")
+    again = source(spark, sf, "application_test", CHANGED)
+    return silver.silver_application(train, again, **options)["application"]
+
+
+@query
+def silver_application_changed(spark, sf):
+    """Some customers applied twice, with other data: the smaller row stays."""
+    return _changed(spark, sf)
+
+
+@query
+def silver_application_ordered(spark, sf):
+    """As before, but the application with the lowest income stays."""
+    return _changed(spark, sf, order_by=["amt_income_total"])
+
+
 # Gold jobs
 
 
@@ -711,20 +769,41 @@ def mart_master(spark, sf):
     return _master(spark, sf)
 
 
+_builds: dict[tuple[str, str], dict[str, Layer]] = {}
+
+
+def _built(spark, sf):
+    """The layers of a whole build, from CSV files; one for each application and folder."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _builds:
+        folder = f"{staging_folder(spark)}/build-{uuid.uuid4().hex}"
+        for name in SOURCES:
+            source(spark, sf, name).write.csv(f"{folder}/csv/{name}.csv", header=True)
+        layers = {n: Layer(spark, path=f"{folder}/{n}") for n in ("bronze", "silver", "gold")}
+        build_layers(spark, f"{folder}/csv", *layers.values())
+        _builds[key] = layers
+    return _builds[key]
+
+
 @query
 def pipeline_mart_master(spark, sf):
     """The wide table at the end of the whole build, from CSV files through all layers."""
-    folder = f"{staging_folder(spark)}/build-{uuid.uuid4().hex}"
-    for name in SOURCES:
-        source(spark, sf, name).write.csv(f"{folder}/csv/{name}.csv", header=True)
-    bronze, silver_layer, gold_layer = (
-        Layer(spark, path=f"{folder}/{n}") for n in ("bronze", "silver", "gold")
-    )
-    build_layers(spark, f"{folder}/csv", bronze, silver_layer, gold_layer)
-    wide = gold_layer.read("mart_master")
+    wide = _built(spark, sf)["gold"].read("mart_master")
     return _rounded(wide, _BUREAU_SUMS + _PREVIOUS_SUMS + _PAYMENT_SUMS)
 
 
+@query
+def pipeline_fact_bureau(spark, sf):
+    """A fact of the whole build."""
+    return _built(spark, sf)["gold"].read("fact_bureau")
+
+
+@query
+def pipeline_quality_report(spark, sf):
+    """What cleaning found in the whole build, as the silver layer stores it."""
+    return _built(spark, sf)["silver"].read("quality_report")
+
+
 @query
 def mart_master_everyone(spark, sf):
     return _master(spark, sf, labelled_only=False)

@@ -10,6 +10,7 @@ outliers and repeated rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Columns = list[tuple[str, str, str]]
 
@@ -232,6 +233,14 @@ SOURCES: dict[str, str] = {
     "POS_CASH_balance": _select(POS_CASH_BALANCE, "events"),
 }
 
+# Second applications whose data differ from the first: which one stays can be seen.
+_CHANGED = {
+    "NAME_EDUCATION_TYPE": _pick("(id + 1) % 3", "Secondary", "Higher", "Incomplete"),
+    "AMT_INCOME_TOTAL": "CASE WHEN id % 50 = 1 THEN NULL ELSE 20000 + (id * 6007) % 210000 END",
+    "DAYS_REGISTRATION": "-((id * 29) % 20000)",
+}
+CHANGED = _select([(n, t, _CHANGED.get(n, e)) for n, t, e in APPLICATION], f"{_APPLICANTS}\nWHERE {_TEST}")
+
 _GIVEN = {
     "application_train": ("customer", "supplier"),
     "application_test": ("customer", "supplier"),
@@ -249,12 +258,18 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A loan source over the given tables, whole."""
+def source(spark: SparkSession, sf_dir: str, name: str, text: str | None = None) -> DataFrame:
+    """A loan source over the given tables, whole; ``text`` replaces its own."""
     tables = {t: given(spark, sf_dir, t) for t in _GIVEN[name]}
-    text = SOURCES[name].replace("{", "{{").replace("}", "}}")
+    text = (text or SOURCES[name]).replace("{", "{{").replace("}", "}}")
     for table in tables:
         text = text.replace(f"FROM {table}", f"FROM {{{table}}}").replace(
             f"JOIN {table} ", f"JOIN {{{table}}} "
         )
     return spark.sql(text, **tables)
+
+
+def repeated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A loan source in which about every third row stands twice."""
+    once = source(spark, sf_dir, name)
+    return once.union(once.filter(F.pmod(F.xxhash64(*once.columns), F.lit(3)) == 0))

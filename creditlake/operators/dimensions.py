@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditlake.functions.columns import key_first
+from creditlake.operators.sizes import session_limit
 from creditlake.staging import stage
 
 # A natural key is frequent if it holds more than this share of all rows, so
@@ -96,7 +97,7 @@ def attach_key(
     that its own are known, or that it has unique keys and so does ``df``.
     """
     columns, key = dimension.columns, dimension.key
-    limit = _session_limit(df) if broadcast_limit is None else broadcast_limit
+    limit = session_limit(df) if broadcast_limit is None else broadcast_limit
     if dimension.size <= limit:
         return _lookup(df, F.broadcast(dimension.frame), columns, key, null_safe)
 
@@ -224,7 +225,3 @@ def _frequent_tuples(df: DataFrame, dimension: Dimension) -> DataFrame:
     items = hashed.freqItems(["h"], HOT_SHARE).select(F.explode("h_freqItems").alias("h"))
     frame = dimension.frame.select(dimension.key, *columns)
     return frame.join(F.broadcast(items), F.xxhash64(*columns) == F.col("h"), "left_semi")
-
-
-def _session_limit(df: DataFrame) -> int:
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditlake.functions.columns import columns_like, null_above
 from creditlake.functions.scalars import is_missing
+from creditlake.operators.sizes import estimated_size, session_limit
 from creditlake.settings import DAY_LIMIT
 from creditlake.staging import stage
 
@@ -23,18 +24,23 @@ _WORDS = 1 << 18
 
 
 def dedup(
-    df: DataFrame, keys: Sequence[str] | None = None, order_by: Sequence[str] | None = None
+    df: DataFrame,
+    keys: Sequence[str] | None = None,
+    order_by: Sequence[str] | None = None,
+    small: int | None = None,
 ) -> DataFrame:
     """One row per distinct row, or per key.
 
     Of several rows with the same key the smallest one by ``order_by`` and then
     by the other columns (NULL first) survives, so the result does not depend
     on the input order. Only rows whose key may be repeated are compared and
-    moved; see :func:`_one_per_key`.
+    moved; see :func:`_one_per_key`. A table of at most ``small`` bytes by Spark's
+    estimate (by default the session's broadcast limit) is compared as a whole
+    instead, since planning more would take longer.
     """
     if not keys:
         return df.dropDuplicates()
-    return _one_per_key(df, keys, order_by).drop(_COPIES)
+    return _one_per_key(df, keys, order_by, small).drop(_COPIES)
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -72,9 +78,11 @@ def quality_check(
     name: str,
     keys: Sequence[str] | None = None,
     limit: float = DAY_LIMIT,
+    order_by: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The cleaned table and its report; nothing runs until one of them is used."""
-    return quality_clean(df, keys, limit), quality_report(df, name, keys, limit)
+    clean = quality_clean(df, keys, limit, order_by=order_by)
+    return clean, quality_report(df, name, keys, limit, order_by)
 
 
 def quality_clean(
@@ -82,19 +90,20 @@ def quality_clean(
     keys: Sequence[str] | None = None,
     limit: float = DAY_LIMIT,
     audit: Observation | None = None,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``df`` without duplicates and with day values over ``limit`` set to NULL.
 
-    With ``audit`` the counts of the report are taken along when the result is
+    Of several rows of a key the first by ``order_by`` stays, as in :func:`dedup`. With ``audit`` the counts of the report are taken along when the result is
     written, at no pass of their own; :func:`audit_report` then reads them. The
     result must be written without another shuffle in between, because only the
     tasks of a job's last stage are sure to be counted once.
     """
     days = columns_like(df, "days")
     if audit is None:
-        return null_above(dedup(df, keys), days, limit)
+        return null_above(dedup(df, keys, order_by), days, limit)
     counts = [c.alias(":".join(name)) for name, c in _counts(df, limit).items()]
-    kept = _kept(df, keys).observe(audit, *counts)
+    kept = _kept(df, keys, order_by).observe(audit, *counts)
     return null_above(kept.drop(_COPIES), days, limit)
 
 
@@ -103,6 +112,7 @@ def quality_report(
     name: str,
     keys: Sequence[str] | None = None,
     limit: float = DAY_LIMIT,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``(table, check, column, value)``: what cleaning ``df`` finds.
 
@@ -111,7 +121,7 @@ def quality_report(
     pass with one shuffle.
     """
     counts = _counts(df, limit)
-    wide = _kept(df, keys).agg(*[c.alias(f"c{i}") for i, c in enumerate(counts.values())])
+    wide = _kept(df, keys, order_by).agg(*[c.alias(f"c{i}") for i, c in enumerate(counts.values())])
     lines = [
         F.struct(
             F.lit(name).alias("table"),
@@ -142,15 +152,20 @@ def _counts(df: DataFrame, limit: float) -> dict[tuple[str, str], Column]:
     return counts | {("outliers", c): F.count_if(F.col(c) > limit) for c in days}
 
 
-def _kept(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+def _kept(
+    df: DataFrame, keys: Sequence[str] | None, order_by: Sequence[str] | None = None
+) -> DataFrame:
     """The rows that cleaning keeps, each with its number of copies."""
     if keys:
-        return _one_per_key(df, keys)
+        return _one_per_key(df, keys, order_by)
     return df.groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
 
 
 def _one_per_key(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None = None,
+    small: int | None = None,
 ) -> DataFrame:
     """The smallest row of each key, with its number of copies.
 
@@ -162,6 +177,8 @@ def _one_per_key(
     key with very many copies sends one row per task. Two keys on one bit cost a
     little of that work, never a row.
     """
+    if estimated_size(df) <= (session_limit(df) if small is None else small):
+        return _unpack(df, keys, _smallest(df, keys, order_by), _COPIES)
     df = _settled(df)
     place = F.pmod(F.xxhash64(*keys), F.lit(64 * _WORDS).cast("bigint"))
     bit = F.call_function(

@@ -7,7 +7,7 @@ holds the counts of its quality report once the table is written.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 
@@ -73,11 +73,15 @@ def silver_application(
     test: DataFrame,
     anchor: datetime.date | Column | None = ANCHOR_DATE,
     audits: Audits = None,
+    order_by: Sequence[str] | None = None,
 ) -> Tables:
-    """All applications, one per customer, and the label of the labelled ones."""
+    """All applications, one per customer, and the label of the labelled ones.
+
+    Of several applications of a customer the first by ``order_by`` stays, then by all columns.
+    """
     target, features = split_target(lower_columns(train), "sk_id_curr", "target")
     everyone = union_by_name(features, lower_columns(test))
-    clean = _checked(everyone, "application", audits, keys=["sk_id_curr"])
+    clean = _checked(everyone, "application", audits, ["sk_id_curr"], order_by)
     typed = cast_columns(round_floats(clean), ["cnt_fam_members"], "int")
     dated = typed.withColumns(
         {"age": age_years("days_birth")} | _date_columns(APPLICATION_DATES, anchor)
@@ -169,12 +173,16 @@ def silver_previous_application(
 
 
 def _checked(
-    df: DataFrame, name: str, audits: Audits, keys: list[str] | None = None
+    df: DataFrame,
+    name: str,
+    audits: Audits,
+    keys: Sequence[str] | None = None,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     audit = None
     if audits is not None:
         audit = audits[name] = Observation(name)
-    return quality_clean(df, keys, audit=audit)
+    return quality_clean(df, keys, audit=audit, order_by=order_by)
 
 
 def _date_columns(

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import Observation
 
 from creditlake.operators import quality as Q
@@ -39,6 +40,37 @@ def test_dedup_survives_a_key_with_most_of_the_rows(spark):
     assert kept.filter("k = -1").first()["v"] == 0
 
 
+@pytest.mark.parametrize("words", [1, 1 << 18])
+def test_both_ways_keep_the_same_rows(spark, monkeypatch, words):
+    # With one word of 64 bits nearly all keys share a bit with a repeated one.
+    monkeypatch.setattr(Q, "_WORDS", words)
+    df = spark.range(6000).selectExpr(
+        "IF(id % 5 = 0, NULL, CAST(id % 2500 AS INT)) AS a", "IF(id % 7 = 0, NULL, CAST(id % 3 AS DOUBLE) - 1) * 0.0 AS b",
+        "CAST(id * 37 % 101 AS INT) AS c", "IF(id % 11 = 0, 'NaN', CAST(id AS STRING)) AS s",
+    )
+    for order in (None, ["s"], ["c", "s"]):
+        one, two = (Q.dedup(df, ["a", "b"], order, small=small) for small in (1 << 40, -1))
+        assert one.dtypes == two.dtypes
+        assert rows(one) == rows(two)
+    assert Q.dedup(df.limit(0), ["a"], small=-1).count() == 0
+
+
+def test_rows_with_a_key_of_their_own_are_neither_sorted_nor_moved(spark):
+    df = spark.range(1000).selectExpr("id AS k", "id % 7 AS v", "CAST(id AS STRING) AS s")
+    plan = Q.dedup(df, ["k"], small=-1)._jdf.queryExecution().sparkPlan()
+    assert plan.nodeName() == "Union"
+    alone = plan.children().apply(0).toString()
+    # Only the marks, which are broadcast, come from an aggregate.
+    assert "SortAggregate" not in alone and "Sort " not in alone
+    assert plan.children().apply(1).toString().count("SortAggregate") == 2
+
+
+def test_a_frame_that_changes_when_read_again_is_settled_first(spark):
+    df = spark.range(2000).selectExpr("CAST(rand() * 500 AS INT) AS k", "uuid() AS s")
+    kept = Q.dedup(df, ["k"], small=-1)
+    assert kept.count() == kept.select("k").distinct().count()
+
+
 def test_duplicate_count(spark):
     df = sample(spark)
     assert Q.duplicate_count(df).first()["duplicates"] == 1

@@ -79,18 +79,20 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """``(bin, low, high, rows)`` for ``bins`` equal widths; the maximum is in the last.
 
-    The range is looked up when the histogram is made, as one row.
+    The input is read once: its values are staged, and range and counts come
+    from there. Both are looked up when the histogram is made, as a line a bin.
     """
-    values = _present(df, column)
-    low, high = values.agg(F.min("v"), F.max("v")).first()
-    if low is None:
-        raise ValueError(f"no values in {column}")
-    # With a single value the width is 0 and everything is in the first bin.
-    width = (high - low) / bins
-    place = F.floor((F.col("v") - low) / width) if width else F.lit(0)
-    counted = values.groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin")).agg(
-        F.count("*").alias("rows")
-    )
+    with scope(df.sparkSession):
+        values = stage(_present(df, column))
+        low, high = values.agg(F.min("v"), F.max("v")).first()
+        if low is None:
+            raise ValueError(f"no values in {column}")
+        # With a single value the width is 0 and everything is in the first bin.
+        width = (high - low) / bins
+        place = F.floor((F.col("v") - low) / width) if width else F.lit(0)
+        place = F.least(place, F.lit(bins - 1)).cast("int").alias("bin")
+        lines = values.groupBy(place).agg(F.count("*").alias("rows")).collect()
+    counted = df.sparkSession.createDataFrame([tuple(r) for r in lines], "bin int, rows bigint")
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(F.broadcast(counted), "bin", "left").select(
         "bin",
@@ -108,8 +110,16 @@ def quantiles(
     ``values`` counts the present values. Built-in exact percentiles keep every
     distinct value of a column in one task. Here the value frequencies are
     sorted by range across the cluster and staged; only the partitions that
-    hold a wanted rank are looked at again.
+    hold a wanted rank are looked at again. The result is looked up when it is
+    asked for, as one line a column, and the staged values go at once.
     """
+    with scope(df.sparkSession):
+        found = _quantiles(df, columns, shares)
+        lines = [tuple(r) for r in found.collect()]
+    return df.sparkSession.createDataFrame(lines, found.schema)
+
+
+def _quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     long = df.select(*[F.col(c).cast("double") for c in columns]).unpivot(
         [], list(columns), "column", "v"
     )
@@ -185,8 +195,7 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
     The whiskers end at the outermost values within 1.5 interquartile ranges
     of the box. The quartiles are looked up when the result is made, as one row.
     """
-    with scope(df.sparkSession):
-        box = quantiles(df, [column]).first()
+    box = quantiles(df, [column]).first()
     if box is None:
         raise ValueError(f"no values in {column}")
     low, middle, high = box["q0"], box["q1"], box["q2"]

@@ -8,7 +8,6 @@ ends; all others when the driver does.
 
 from __future__ import annotations
 
-import gc
 import threading
 import uuid
 from collections.abc import Iterator
@@ -17,9 +16,12 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _NAME = f"creditlake-{uuid.uuid4().hex}"
 _made: set[str] = set()
 _lock = threading.Lock()
+_releasing: dict[str, tuple[str, int]] = {}
 _scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
@@ -46,20 +48,38 @@ def scope(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for all tables staged inside, deleted at the end, also after a failure.
 
     Frames built on these tables end with it. Scopes of other builds and
-    tables staged before are not touched. Shuffle files of the jobs inside go as
-    well: Spark deletes them once the driver has collected their plans, which a
-    driver with memory to spare would put off.
+    tables staged before are not touched. Shuffle files go at the end of each
+    query inside: Spark would keep them until the driver has collected its plan,
+    which a driver with memory to spare puts off.
     """
     folder = f"{staging_folder(spark)}/scope-{uuid.uuid4().hex}"
     outer = _scopes.set((*_scopes.get(), folder))
     try:
-        yield folder
+        with _shuffles_released(spark):
+            yield folder
     finally:
         _scopes.reset(outer)
         files, path = _hadoop(spark, folder)
         files.delete(path, True)
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Spark's own setting to delete a query's shuffle files when it ends, while any scope of the session is open."""
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        before, users = _releasing.get(session, (spark.conf.get(_RELEASE), 0))
+        _releasing[session] = before, users + 1
+        spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            before, users = _releasing.pop(session)
+            if users > 1:
+                _releasing[session] = before, users - 1
+            else:
+                spark.conf.set(_RELEASE, before)
 
 
 def stage(df: DataFrame, outlive: bool = False) -> DataFrame:

@@ -1,10 +1,12 @@
 import os
+import time
 
 import pytest
 
 from creditlake import Layer, staging
 from creditlake.jobs import together
 from creditlake.operators.dimensions import create_dimension
+from creditlake.operators import profiling as P
 from creditlake.operators.profiling import box_stats
 from creditlake.plans.pipeline import build_gold
 
@@ -57,6 +59,42 @@ def test_box_stats_leaves_nothing(spark):
     assert staged(spark) == before
 
 
+def test_profiles_leave_nothing_however_often_they_are_asked_for(spark):
+    df = spark.range(200).selectExpr("CAST(id % 90 AS DOUBLE) AS v", "CAST(id AS DOUBLE) AS w")
+    before = staged(spark)
+    made = [P.describe(df, ["v", "w"]) for _ in range(20)] + [P.quantiles(df, ["v"]), P.histogram(df, "w", 4)]
+    assert staged(spark) == before
+    # The frames are whole though nothing is staged any more.
+    assert [f.count() for f in made] == [2] * 20 + [1, 4]
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum(disk.getAllFiles().apply(i).getName().startswith("shuffle") for i in range(disk.getAllFiles().size()))
+
+
+def test_a_scope_leaves_no_shuffle_files_and_no_setting(spark):
+    setting = spark.conf.get(staging._RELEASE)
+
+    def waited(most):
+        for _ in range(100):
+            if shuffle_files(spark) <= most:
+                return True
+            time.sleep(0.1)
+        return False
+
+    before = shuffle_files(spark)
+    held = spark.range(1000).selectExpr("id % 90 AS k").groupBy("k").count()
+    with staging.scope(spark), staging.scope(spark):
+        jobs = [lambda i=i: staging.stage(spark.range(1000).selectExpr(f"id % {i + 7} AS k").groupBy("k").count()).count() for i in range(6)]
+        assert together(jobs, 3) == [i + 7 for i in range(6)]
+        # A frame may be run again after its shuffle files went.
+        assert [held.count(), held.count(), len(held.collect()), len(held.collect())] == [90] * 4
+        assert spark.conf.get(staging._RELEASE) == "true"
+    assert spark.conf.get(staging._RELEASE) == setting
+    assert waited(before)
+
+
 def test_without_a_folder_staging_is_an_error():
     class Context:
         master = "local[2]"

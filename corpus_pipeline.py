@@ -17,7 +17,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creditlake.llm import language, line_dedup, near_copies, packing, suffix_dedup
+from creditlake.llm import language, line_dedup, packing, simhash, suffix_dedup
 from creditlake.llm.common import fold, table
 from creditlake.staging import stage
 
@@ -33,8 +33,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group whose sets of five words have a similarity of at least 0.8."""
-    return near_copies.keep_one(docs)
+    """The first document of each group whose fingerprints of three-word shingles link at two bits or fewer."""
+    return simhash.keep_first(docs)
 
 
 def dedup_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

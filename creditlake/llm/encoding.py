@@ -139,8 +139,12 @@ class Encoder:
             if not _PRINTED.fullmatch(piece):
                 return self._library(piece)
             return b"".join(map(self._merge, _BYTE_LEVEL.findall(piece)))
-        if piece.isascii() and piece.isalpha():
-            return self._ids(piece.lower())
+        if piece.isalpha() and max(piece) <= "\xff":
+            # One word of one kind of character; its capitals share the ids of the small letters.
+            low = piece.lower()
+            if low != piece:
+                return self.first[low]
+            return self._ids(low) if low.isascii() else self._merge(low)
         if not _PLAIN.fullmatch(piece):
             return self._library(piece)
         return b"".join(map(self._merge, _WORD_LEVEL.findall(piece.lower())))

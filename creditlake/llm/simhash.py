@@ -73,8 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def run(part: dict) -> Iterator[dict]:
         for doc, text in zip(part["doc_id"], part["text"]):
-            bits = fingerprint(text, shingle)
-            yield {"doc_id": doc, "fingerprint": bits - (bits >> 63 << 64)}
+            yield {"doc_id": doc, "fingerprint": _signed(fingerprint(text, shingle))}
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return map_slices(rows, run, "doc_id bigint, fingerprint bigint")
@@ -111,29 +110,42 @@ def links(distinct: DataFrame, crowd: int = CROWD) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id``, the smallest ``doc_id`` it can reach, of every row."""
     marked = stage(fingerprints(docs, shingle))
-    distinct = stage(marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first")))
-    rooted = components(links(distinct.select("fp")))
-    named = distinct.join(rooted, F.col("fp") == F.col("node"), "left")
-    named = stage(named.select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    named = _grouped(marked, F.col("doc_id"))
     groups = named.groupBy("root").agg(F.min("first").alias("component_id"))
     names = named.join(groups, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return marked.join(names, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def _grouped(marked: DataFrame, order: Column) -> DataFrame:
+    """``fp``, the ``first`` of its rows by ``order`` and the ``root`` of its group, for each fingerprint."""
+    distinct = stage(marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(order).alias("first")))
+    rooted = components(links(distinct.select("fp")))
+    named = distinct.join(rooted, F.col("fp") == F.col("node"), "left")
+    return stage(named.select("fp", "first", F.coalesce("root", "fp").alias("root")))
+
+
 def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of each group of near-duplicates of ``docs``, all columns in place.
 
-    It is the one with the smallest ``doc_id``; of rows that share it, the one
-    with the least text. Texts without words are copies of each other. Rows without
+    It is the one with the smallest ``doc_id``; of rows that share it, the one whose
+    text has the least hash, so another text of that ``doc_id`` stays if it is first
+    in a group of its own. Texts without words are copies of each other. Rows without
     ``doc_id`` take no part and stay.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     doc, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
-    named = docs.toDF(*names).withColumn("doc_id_", doc.cast("bigint"))
-    rows = named.filter("doc_id_ IS NOT NULL").select(F.col("doc_id_").alias("doc_id"), text.alias("text"))
-    first = near_duplicates(rows, shingle).select("component_id").distinct()
-    kept = named.join(first, F.col("doc_id_") == F.col("component_id"), "left_semi")
-    once = kept.groupBy("doc_id_").agg(F.min_by(F.struct(*names), F.struct(text, F.xxhash64(*names))).alias("row"))
+    named = docs.toDF(*names).withColumns({"doc_id_": doc.cast("bigint"), "hash_": F.xxhash64(text)})
+
+    def run(part: dict) -> Iterator[dict]:
+        for doc_id, hashed, value in zip(part["doc_id_"], part["hash_"], part["text"]):
+            yield {"doc_id": doc_id, "hash": hashed, "fingerprint": _signed(fingerprint(value, shingle))}
+
+    rows = named.filter("doc_id_ IS NOT NULL").select("doc_id_", "hash_", text.alias("text"))
+    marked = stage(map_slices(rows, run, "doc_id bigint, hash bigint, fingerprint bigint"))
+    first = F.struct(F.col("doc_id").alias("doc_id_"), F.col("hash").alias("hash_"))
+    chosen = _grouped(marked, first).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    kept = named.join(chosen, ["doc_id_", "hash_"], "left_semi")
+    once = kept.groupBy("doc_id_", "hash_").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row"))
     whole = named.filter("doc_id_ IS NULL").select(*names).union(once.select("row.*"))
     return whole.toDF(*docs.columns)
 

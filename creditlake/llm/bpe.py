@@ -37,7 +37,7 @@ CACHED = 300_000
 LONGEST = 48
 
 # Characters that are fed to the splitter at a time, and bytes of one word to the merger.
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 BLOCK = 1 << 10
 
 # Fixed value: how the vocabulary's texts are split before merging.
@@ -259,13 +259,20 @@ class Transducer:
 
 
 class Coder:
-    """Whole texts to ids through the transducer, with the words seen lately kept."""
+    """Whole texts to ids through the transducer.
+
+    The ids of words that have left it lately are kept, so that it merges each of
+    these once. ``streamed`` counts the bytes that went through the merger.
+    """
 
     def __init__(self, path: str):
         self.merges = Merges(path)
         self.lookahead = self.merges.lookahead
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.streamed = 0
+        self.ids: list[int] = []
+        self.merger = WordStream(self.merges, self.lookahead, self.ids.extend)
         contents = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, contents))) if contents else None
 
@@ -292,7 +299,7 @@ class Coder:
     def _word(self, word: str) -> bytes:
         ids = self.kept.get(word)
         if ids is None:
-            ids = self.old.get(word) or _packed(merge(self.merges, word.encode()))
+            ids = self.old.get(word) or self._streamed(word.encode())
             if len(word) <= LONGEST:
                 if len(self.kept) >= CACHED:
                     self.old, self.kept = self.kept, {}
@@ -300,6 +307,16 @@ class Coder:
         return ids
 
 
+    def _streamed(self, data: bytes) -> bytes:
+        """The ids of a whole word, as they leave the merger."""
+        self.streamed += len(data)
+        self.ids.clear()
+        for at in range(0, len(data), BLOCK):
+            self.merger.feed(data[at : at + BLOCK])
+        self.merger.close()
+        return _packed(self.ids)
+
+
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 

@@ -11,8 +11,8 @@ capacity and not on the corpus:
 3. what remains is packed best fit decreasing, all pieces of one length at a
    time, into the free space of the chosen patterns as well as into new sequences.
 
-The plan with the fewest sequences is taken, of one for each share of waste and
-one by best fit decreasing alone.
+The plan with the fewest sequences is taken, of one for each share of waste. Best
+fit decreasing alone takes its place only where it needs fewer.
 
 The result is a table of slots: for each length, which ranks go to which
 sequences and where. Pieces get their rank among those of their length from
@@ -37,12 +37,13 @@ from pyspark.sql.window import Window
 
 from creditlake.llm.common import SLICE
 from creditlake.llm.encoding import encoder
+from creditlake.llm.window_packing import fit as least_squares
+from creditlake.llm.window_packing import rounded
 from creditlake.staging import stage
 
 CAPACITY = 2048
-# Patterns tried, and sweeps of the fit.
+# Patterns tried.
 PATTERNS_PER_LENGTH = 24
-SWEEPS = 60
 # Shares of a sequence that patterns of the fit may leave free, each tried. Few
 # lengths may have none but wasteful ones.
 WASTE = (0.0, 1 / 64, 1.0)
@@ -154,12 +155,10 @@ def plan(histogram: np.ndarray, capacity: int) -> list[tuple[int, int, int, int,
 
     if left[capacity]:
         put((capacity,), int(left[capacity]))
-    plans = [residual(left, capacity)]
+    plans = []
     found = patterns(left, capacity)
     least = -(-int((left * np.arange(capacity + 1)).sum()) // capacity)
     for waste in WASTE:
-        if min(sum(times for _, times in made) for made in plans) == least:
-            break
         full = [p for p in found if sum(p) >= capacity * (1 - waste)]
         rest, chosen = left.copy(), []
         for pattern, times in zip(full, fit(full, left, capacity)):
@@ -169,6 +168,10 @@ def plan(histogram: np.ndarray, capacity: int) -> list[tuple[int, int, int, int,
                 rest[lengths] -= each * times
                 chosen.append((pattern, times))
         plans.append(residual(rest, capacity, chosen))
+        if sum(times for _, times in plans[-1]) == least:
+            break
+    else:
+        plans.append(residual(left, capacity))
     for pattern, times in min(plans, key=lambda made: sum(times for _, times in made)):
         put(pattern, times)
     return slots
@@ -204,31 +207,15 @@ def patterns(histogram: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
 
 
 def fit(found: list[tuple[int, ...]], histogram: np.ndarray, capacity: int) -> np.ndarray:
-    """How often to repeat each pattern: non-negative least squares on the histogram, rounded down.
+    """How often to repeat each pattern: non-negative least squares on the histogram, in whole numbers.
 
-    Coordinate descent: each step solves for one pattern exactly and keeps it
-    at or above zero, over the residual histogram. Fuller patterns are visited
-    first, so they win where several fit alike.
+    The fit is that of :mod:`~creditlake.llm.window_packing`; running sums are rounded, so that the many
+    small counts of a wide histogram add up to as many sequences as they should.
     """
-    counts = np.zeros(len(found))
-    residual_ = histogram[: capacity + 1].astype(float)
-    rows = [tuple(zip(*np.unique(p, return_counts=True))) for p in found]
-    weights = [float(sum(int(k) ** 2 for _, k in r)) for r in rows]
-    steps = [(i, [(int(n), int(k)) for n, k in r], w) for i, (r, w) in enumerate(zip(rows, weights))]
-    for _ in range(SWEEPS):
-        moved = 0.0
-        for i, row, weight in steps:
-            step = sum(k * residual_[n] for n, k in row) / weight
-            new = max(0.0, counts[i] + step)
-            step = new - counts[i]
-            if step:
-                counts[i] = new
-                for n, k in row:
-                    residual_[n] -= k * step
-                moved += abs(step)
-        if moved < 0.5:
-            break
-    return np.floor(counts + 1e-9).astype(np.int64)
+    rows = np.zeros((len(found), max(map(len, found), default=1)), np.int64)
+    for k, pattern in enumerate(found):
+        rows[k, : len(pattern)] = pattern
+    return rounded(least_squares(rows, histogram)) if found else np.zeros(0, np.int64)
 
 
 def residual(

@@ -120,15 +120,29 @@ class Scorer:
 
 
 def sample(docs: DataFrame, learn: Column) -> list[tuple[str, str]]:
-    """Texts and labels to learn from: the documents with the smallest hashes of each label."""
-    able = docs.filter(learn & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"\p{L}"))
-    keys = able.select("lang", F.col("doc_id").alias("id"), F.xxhash64("doc_id").alias("hash")).distinct()
-    order = Window.partitionBy("lang").orderBy("hash", "id")
+    """Texts and labels to learn from: the documents with the smallest hashes of each label.
+
+    Of a longer text a passage of ``SAMPLE_CHARS`` characters is taken, from a place that its id decides.
+    """
+    hashed = F.xxhash64("doc_id")
+    able = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = able.groupBy("lang").agg(F.greatest(F.approx_count_distinct("doc_id"), F.lit(1)).alias("n"))
+    # Hashes below a bound that leaves some times the wanted number of a frequent label, so that
+    # no task meets all its ids.
+    share = F.lit(8.0 * SAMPLE_PER_LABEL) / F.col("n")
+    low = F.pmod(hashed, F.lit(1 << 20)) < F.greatest(share, F.lit(2.0**-20)) * (1 << 20)
+    keys = able.join(counts, "lang").filter(low)
+    # The bits that the bound looked at come first in the order.
+    keys = keys.select("lang", F.col("doc_id").alias("id"), F.pmod(hashed, F.lit(1 << 20)).alias("low"), hashed.alias("hash"))
+    keys = keys.distinct()
+    order = Window.partitionBy("lang").orderBy("low", "hash", "id")
     chosen = keys.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_PER_LABEL)
     chosen = chosen.orderBy("place", "hash", "lang").limit(SAMPLE_ROWS).select("id", F.col("lang").alias("label"))
     # One text for each id and label, however often the row is repeated.
     rows = able.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("label")))
+    begin = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))) + 1
     texts = rows.groupBy("id", "label").agg(F.min("text").alias("text"))
+    texts = texts.withColumn("text", F.substr("text", begin.cast("int"), F.lit(SAMPLE_CHARS)))
     return [(r["text"], r["label"]) for r in sorted(texts.collect(), key=lambda r: (r["id"], r["label"]))]
 
 

@@ -2,7 +2,8 @@
 
 1. Tokens of the training documents are counted, combined in each task before
    the shuffle.
-2. The ``HEAD`` most frequent words at most go to every task (a fixed bound);
+2. The ``HEAD`` most frequent words at most go to every task (a fixed bound, each
+   word of at most ``LONGEST`` bytes), the end of a document always among them;
    the first ``VOCABULARY`` of them are the model's own, all others are the
    "outside" token to it.
 3. The recurrent model (:mod:`creditlake.llm.recurrent`) trains on all training documents,
@@ -39,6 +40,9 @@ from creditlake.llm import recurrent
 from creditlake.staging import stage
 
 HEAD = 131_072
+LONGEST = 64
+# Words of the count at which the head is cut are taken by whole buckets of their hashes.
+BUCKETS = 1 << 16
 VOCABULARY = 1_024
 ROUNDS = 2
 FAN_IN = 16
@@ -125,18 +129,32 @@ _SCORED = (
 
 
 def _head(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """The most frequent words, as many whole groups of equal counts as fit, and their counts."""
+    """The end and the most frequent words that fit, by falling count, and their counts.
+
+    Words of the last count that has a place are taken by hash, in whole buckets.
+    """
+    short = counts.filter((F.octet_length("word") <= LONGEST) & (F.col("word") != END))
     # One line for each different count, from the top until the words are enough.
-    sizes = counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(HEAD).collect()
-    least, held = None, 0
+    sizes = short.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(HEAD).collect()
+    room, least, cut = HEAD - 1, None, None
     for row in sizes:
-        held += row["n"]
-        if held > HEAD:
+        if row["n"] > room:
+            cut = row["c"]
             break
-        least = row["c"]
-    if least is None:
-        return [], np.zeros(0, np.int64)
-    found = sorted(((r["c"], r["word"]) for r in counts.filter(F.col("c") >= least).collect()), key=lambda r: (-r[0], r[1]))
+        least, room = row["c"], room - row["n"]
+    chosen = F.col("word") == END
+    if least is not None:
+        chosen |= (F.col("c") >= least) & (F.octet_length("word") <= LONGEST)
+    if cut is not None and room:
+        bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS))
+        last = short.filter(F.col("c") == cut)
+        edge = 0
+        for row in last.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).orderBy("b").collect():
+            if row["n"] > room:
+                break
+            edge, room = row["b"] + 1, room - row["n"]
+        chosen |= (F.col("c") == cut) & (F.octet_length("word") <= LONGEST) & (bucket < edge)
+    found = sorted(((r["c"], r["word"]) for r in counts.filter(chosen).collect()), key=lambda r: (-r[0], r[1]))
     return [w.encode() for _, w in found], np.array([c for c, _ in found], np.int64)
 
 

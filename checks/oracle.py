@@ -636,6 +636,33 @@ ORACLE["attach_key_other_table"] = (
     "f AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 4 THEN 7 ELSE l_orderkey % 60 END AS code FROM lineitem) "
     "SELECT l_orderkey, l_linenumber, f.code, code_id FROM f LEFT JOIN d ON f.code = d.code"
 )
+_three = {"pair_id": _pair, "type_id": ["credit_type"], "debt_id": ["amt_credit_sum_debt", "credit_currency", "cnt_credit_prolong"]}
+
+
+def _three_keys() -> str:
+    joins, found = [], ["f.sk_id_bureau", "f.days_credit"]
+    for key, natural in _three.items():
+        numbered = ", ".join(natural), ", ".join(f"{c} NULLS FIRST" for c in natural)
+        side = (
+            f"(SELECT {numbered[0]}, row_number() OVER (ORDER BY {numbered[1]}) - 1 AS {key} "
+            f"FROM (SELECT DISTINCT {numbered[0]} FROM bureau) AS d)"
+        )
+        joins.append(f"LEFT JOIN {side} AS {key}_s ON " + " AND ".join(f"f.{c} IS NOT DISTINCT FROM {key}_s.{c}" for c in natural))
+        none = " OR ".join(f"f.{c} IS NULL" for c in natural)
+        found += [f"{key}_s.{key}", f"CASE WHEN {none} THEN NULL ELSE {key}_s.{key} END AS {key}_equal"]
+    return f"SELECT {', '.join(found)} FROM bureau AS f {' '.join(joins)}"
+
+
+oracle("attach_keys_together", _three_keys())
+ORACLE["attach_keys_other_tables"] = (
+    "WITH c AS (SELECT code, row_number() OVER (ORDER BY code) - 1 AS code_id "
+    "FROM (SELECT DISTINCT c_custkey % 40 AS code FROM customer)), "
+    "p AS (SELECT size, rest, row_number() OVER (ORDER BY size, rest) - 1 AS part_id "
+    "FROM (SELECT DISTINCT p_size AS size, p_partkey % 7 AS rest FROM part)), "
+    "f AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 4 THEN 7 ELSE l_orderkey % 60 END AS code, "
+    "CAST(l_linenumber * 9 AS INTEGER) AS size, l_orderkey % 9 AS rest FROM lineitem) "
+    "SELECT f.*, code_id, part_id FROM f LEFT JOIN c ON f.code = c.code LEFT JOIN p ON f.size = p.size AND f.rest = p.rest"
+)
 _hot = ["status", "months_balance"]
 oracle(
     "attach_key_hot_equal_rows",

@@ -21,7 +21,7 @@ from creditlake.functions import scalars as S
 from creditlake.operators import profiling as P
 from creditlake.operators import quality as Q
 from creditlake.operators.behavior import behavior
-from creditlake.operators.dimensions import attach_key, create_dimension
+from creditlake.operators.dimensions import attach_key, attach_keys, create_dimension
 from creditlake.plans import gold, marts, silver, stars
 from creditlake.sources.csv import load_all
 from creditlake.settings import INSURED_LABELS, LEGACY_SEVERITY, SEVERITY, STATUS_LABELS
@@ -550,6 +550,37 @@ def attach_key_hot_equal_rows(spark, sf):
     return attach_key(df, dimension, broadcast_limit=-1)
 
 
+@query
+def attach_keys_together(spark, sf):
+    """Three dimensions that are too large to broadcast, looked up in one shuffle."""
+    df = _silver(spark, sf, "bureau")
+    dimensions = [
+        create_dimension(df, natural, key)
+        for key, natural in (
+            ("pair_id", ["credit_active", "days_credit_enddate"]),
+            ("type_id", ["credit_type"]),
+            ("debt_id", ["amt_credit_sum_debt", "credit_currency", "cnt_credit_prolong"]),
+        )
+    ]
+    keyed = attach_keys(df, dimensions, broadcast_limit=-1, counted=True, keep=["sk_id_bureau", "days_credit"])
+    equal = attach_keys(df, dimensions, null_safe=False, broadcast_limit=-1, keep=["sk_id_bureau"])
+    renamed = equal.toDF("sk_id_bureau", *(f"{d.key}_equal" for d in dimensions))
+    return keyed.join(renamed, "sk_id_bureau")
+
+
+@query
+def attach_keys_other_tables(spark, sf):
+    """Two dimensions counted from other tables; frequent keys are searched for in one pass."""
+    customers = given(spark, sf, "customer").selectExpr("c_custkey % 40 AS code", "c_custkey AS customer")
+    parts = given(spark, sf, "part").selectExpr("p_size AS size", "p_partkey % 7 AS rest")
+    dimensions = [create_dimension(customers, ["code"], "code_id"), create_dimension(parts, ["size", "rest"], "part_id")]
+    lines = given(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "IF(l_linenumber < 4, 7, l_orderkey % 60) AS code",
+        "CAST(l_linenumber * 9 AS INT) AS size", "l_orderkey % 9 AS rest",
+    )
+    return attach_keys(lines, dimensions, broadcast_limit=-1)
+
+
 @query
 def attach_key_other_table(spark, sf):
     """The lookup in a dimension whose keys are rare where it was counted and frequent in the fact."""

@@ -127,6 +127,85 @@ def attach_key(
     return joined.select(*df.columns, found)
 
 
+def attach_keys(
+    df: DataFrame,
+    dimensions: Sequence[Dimension],
+    null_safe: bool = True,
+    broadcast_limit: int | None = None,
+    counted: bool = False,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """``df`` with the keys of several dimensions as last columns, in their order.
+
+    The same as one :func:`attach_key` after the other, which would shuffle the
+    rows once for each dimension over the broadcast limit. Here those are looked up
+    together: every row gives two hashes for each of them, all these are joined in one
+    shuffle, the keys found come together by row, and the rows themselves are
+    shuffled once, to meet them. Frequent keys of all of them are searched for in
+    one pass over ``df``. The rows are staged, so that a repeated task numbers them
+    alike. ``keep`` names the columns of ``df`` in the result, if not all are needed.
+    """
+    kept = [*(df.columns if keep is None else keep)]
+    limit = session_limit(df) if broadcast_limit is None else broadcast_limit
+    large = [d for d in dimensions if d.size > limit]
+    if len(large) < 2 or not all(_same_types(df, d) for d in large):
+        large = []
+    # The others first, so that their natural keys need not travel.
+    others = [d for d in dimensions if d not in large]
+    for i, d in enumerate(others):
+        needed = {*kept}.union(*(e.columns for e in [*others[i:], *large]), (e.key for e in others[:i]))
+        df = attach_key(df.select(*[c for c in df.columns if c in needed]), d, null_safe, limit, counted)
+    if large:
+        df = _together(df, large, null_safe, counted, [*kept, *(d.key for d in others)])
+    return df.select(*kept, *(d.key for d in dimensions))
+
+
+def _same_types(df: DataFrame, dimension: Dimension) -> bool:
+    """Whether equal natural keys have equal hashes on both sides."""
+    own, other = dict(df.dtypes), dict(dimension.frame.dtypes)
+    return all(own[c] == other[c] for c in dimension.columns)
+
+
+def _together(
+    df: DataFrame, dimensions: Sequence[Dimension], null_safe: bool, counted: bool, kept: Sequence[str]
+) -> DataFrame:
+    """``kept`` and the keys of ``dimensions``, all looked up in one shuffle of hashes."""
+    needed = {*kept}.union(*(d.columns for d in dimensions))
+    narrow = df.select(*[c for c in df.columns if c in needed])
+    rows = stage(narrow.withColumn(_PLACE, F.monotonically_increasing_id()))
+    number, pair, key = f"{_MATCH}number", [f"{_MATCH}h1", f"{_MATCH}h2"], f"{_MATCH}key"
+
+    def hashed(columns: Sequence[str], i: int) -> list[Column]:
+        return [F.lit(i).alias(number), *_hashes(columns, pair)]
+
+    asked = []
+    for i, d in enumerate(dimensions):
+        missing = reduce(Column.__or__, [F.col(c).isNull() for c in d.columns])
+        asked.append(F.when(F.lit(null_safe) | ~missing, F.struct(*hashed(d.columns, i))))
+    each = rows.select(_PLACE, F.explode(F.array(*asked)).alias("asked")).filter("asked IS NOT NULL")
+    each = each.select(_PLACE, "asked.*")
+
+    def keys(frames: Sequence[DataFrame], name: str) -> DataFrame:
+        sides = [f.select(*hashed(d.columns, i), F.col(d.key).alias(name)) for i, (d, f) in enumerate(zip(dimensions, frames))]
+        return reduce(DataFrame.union, sides)
+
+    # As in a single lookup: frequent tuples are answered by a broadcast of bounded
+    # size, and their rows are spread instead of meeting in one task.
+    hot, spread = f"{_MATCH}hot", f"{_MATCH}spread"
+    frequent = _frequent_of_all(rows, dimensions, counted)
+    marked = each.join(F.broadcast(keys(frequent, hot)), [number, *pair], "left")
+    apart = F.when(F.col(hot).isNotNull(), F.xxhash64(F.spark_partition_id() + 1)).otherwise(F.lit(0))
+    marked = marked.withColumn(spread, apart)
+    cold = keys([d.frame for d in dimensions], key)
+    cold = cold.withColumn(spread, F.col(key).bitwiseAND(F.lit(0).cast("bigint")))
+    found = marked.join(cold, [number, *pair, spread], "left")
+    found = found.select(_PLACE, number, F.coalesce(hot, key).alias(key))
+    wide = found.groupBy(_PLACE).agg(
+        *[F.max(F.when(F.col(number) == i, F.col(key))).alias(d.key) for i, d in enumerate(dimensions)]
+    )
+    return rows.join(wide, _PLACE, "left").select(*kept, *(d.key for d in dimensions))
+
+
 class _Numbered(NamedTuple):
     frame: DataFrame
     rows: int
@@ -225,3 +304,22 @@ def _frequent_tuples(df: DataFrame, dimension: Dimension) -> DataFrame:
     items = hashed.freqItems(["h"], HOT_SHARE).select(F.explode("h_freqItems").alias("h"))
     frame = dimension.frame.select(dimension.key, *columns)
     return frame.join(F.broadcast(items), F.xxhash64(*columns) == F.col("h"), "left_semi")
+
+
+def _frequent_of_all(
+    df: DataFrame, dimensions: Sequence[Dimension], counted: bool
+) -> list[DataFrame]:
+    """The rows of each dimension that are frequent in ``df``; one pass over ``df`` finds those not known."""
+    frames = [d.frame.select(d.key, *d.columns) for d in dimensions]
+    if counted:
+        return [f.limit(0) if d.frequent is None else d.frequent for d, f in zip(dimensions, frames)]
+    names = [f"h{i}" for i in range(len(dimensions))]
+    hashed = df.select(*[F.xxhash64(*d.columns).alias(n) for d, n in zip(dimensions, names)])
+    # At most 1 / HOT_SHARE numbers for each dimension.
+    items = hashed.freqItems(names, HOT_SHARE).first()
+    found = []
+    for d, frame, name in zip(dimensions, frames, names):
+        lines = [(h,) for h in items[f"{name}_freqItems"]]
+        hot = df.sparkSession.createDataFrame(lines, "h bigint")
+        found.append(frame.join(F.broadcast(hot), F.xxhash64(*d.columns) == F.col("h"), "left_semi"))
+    return found

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from creditlake.functions.columns import columns_with_prefix, lower_columns
 from creditlake.jobs import AT_ONCE, together
 from creditlake.operators.behavior import behavior
-from creditlake.operators.dimensions import Dimension, add_key, attach_key, create_dimension
+from creditlake.operators.dimensions import Dimension, add_key, attach_keys, create_dimension
 from creditlake.plans import stars
 from creditlake.plans.stars import Star
 from creditlake.settings import SEVERITY
@@ -139,24 +139,15 @@ def _fact(
     null_safe: bool,
     skip_missing: bool,
 ) -> DataFrame:
-    """``columns`` of ``df`` and of the dimensions' keys.
-
-    A lookup carries along only what the fact or a later lookup needs, so that
-    a shuffle, where one is needed, moves narrow rows.
-    """
+    """``columns`` of ``df`` and of the dimensions' keys."""
     used = [d for d in dimensions.values() if d.key in columns]
     keys = {d.key for d in used}
     if skip_missing:
         columns = [c for c in columns if c in df.columns or c in keys]
-    fact = df
-    for i in range(len(used) + 1):
-        carried = {*columns}.union(*[d.columns for d in used[i:]])
-        fact = fact.select(*[c for c in fact.columns if c in carried])
-        if i < len(used):
-            # The dimensions of a star were counted from its own table, and the
-            # others have unique keys: no lookup has to search for frequent ones.
-            fact = attach_key(fact, used[i], null_safe, counted=True)
-    return fact.select(*columns)
+    measures = [c for c in columns if c not in keys]
+    # The dimensions of a star were counted from its own table, and the
+    # others have unique keys: no lookup has to search for frequent ones.
+    return attach_keys(df, used, null_safe, counted=True, keep=measures).select(*columns)
 
 
 def _natural_key(df: DataFrame, natural: tuple[str, ...] | str, skip_missing: bool) -> list[str]:

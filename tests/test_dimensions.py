@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from creditlake.operators.dimensions import add_key, attach_key, create_dimension
+from creditlake.operators.dimensions import add_key, attach_key, attach_keys, create_dimension
 
 
 def rows(df):
@@ -157,3 +157,57 @@ def test_large_values_are_not_broadcast(spark, kind):
     value = {"BINARY": "CAST(repeat(CAST(id AS STRING), 50000) AS BINARY)", "ARRAY<BIGINT>": "array_repeat(id, 20000)"}[kind]
     dimension = create_dimension(spark.range(200).selectExpr(f"{value} AS v"), ["v"], "key")
     assert dimension.size > 10 << 20
+
+
+def several(spark):
+    """Rows with a hot tuple, missing values and repeated rows, and three dimensions."""
+    df = spark.range(12000).selectExpr(
+        "IF(id % 3 = 0, NULL, CAST(id % 700 AS INT)) AS a", "CAST(IF(id % 2 = 0, 7, id % 50) AS DOUBLE) AS b",
+        "IF(id % 4 = 0, 'hot', CAST(id % 90 AS STRING)) AS c", "id % 5 AS v",
+    )
+    natural = {"i": ["a", "b"], "j": ["c"], "k": ["b", "c"]}
+    return df, [create_dimension(df, columns, key) for key, columns in natural.items()]
+
+
+@pytest.mark.parametrize("counted", [True, False])
+@pytest.mark.parametrize("null_safe", [True, False])
+@pytest.mark.parametrize("limit", [None, -1, 3000])
+def test_several_lookups_equal_one_after_the_other(spark, counted, null_safe, limit):
+    df, dimensions = several(spark)
+    expected = df
+    for d in dimensions:
+        expected = attach_key(expected, d, null_safe)
+    got = attach_keys(df, dimensions, null_safe, limit, counted)
+    assert got.columns == expected.columns
+    assert rows(got) == rows(expected)
+    narrow = attach_keys(df, dimensions, null_safe, limit, counted, keep=["v"])
+    assert rows(narrow) == rows(expected.select("v", "i", "j", "k"))
+    assert attach_keys(df.limit(0), dimensions, null_safe, limit, counted).count() == 0
+
+
+def test_several_lookups_shuffle_the_rows_once(spark):
+    df, dimensions = several(spark)
+    df = df.withColumn("measure", F.col("v") + 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = attach_keys(df, dimensions, counted=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    moved = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    # The measure is below one exchange only.
+    assert sum(any("measure" in below for below in lines[i + 1 : i + 5]) for i in moved) == 1
+
+
+def test_several_lookups_of_other_types_go_one_by_one(spark):
+    df, dimensions = several(spark)
+    wide = df.withColumn("b", F.col("b").cast("int"))
+    got = attach_keys(wide, dimensions, broadcast_limit=-1)
+    assert got.filter("i IS NULL OR k IS NULL").count() == 0
+
+
+def test_the_hot_tuple_of_several_lookups_is_spread(spark):
+    df, dimensions = several(spark)
+    joined = attach_keys(df.repartition(64, F.rand(3)), dimensions, broadcast_limit=-1, counted=True)
+    most, total = largest_share(spark, joined)
+    assert total == 12000 and most < 4000

@@ -735,6 +735,7 @@ for _job, (_table, _star, _more) in STARS.items():
         _job,
         "\nUNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {o}" for n, o in _counts),
     )
+ORACLE["dim_contract_large"] = ORACLE["dim_contract"]
 oracle("dim_app_target", "SELECT * FROM application_target")
 oracle("dim_bureau_balance", "SELECT * FROM bureau_balance")
 oracle("dim_behavior", "SELECT * FROM dim_bureau_behavior")

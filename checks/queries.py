@@ -494,6 +494,13 @@ def behavior_legacy(spark, sf):
     return behavior(_balance(spark, sf), severity=LEGACY_SEVERITY)
 
 
+@query
+def dim_contract_large(spark, sf):
+    """Numbered across the cluster, as dimensions of tables over the broadcast limit are."""
+    key, columns = stars.APPLICATION.dimensions["dim_contract"]
+    return create_dimension(_application(spark, sf)["application"], columns, key, small=-1).frame
+
+
 # Key lookup
 
 
@@ -527,7 +534,7 @@ def attach_key_shuffled(spark, sf):
     """The lookup in a dimension that is too large to broadcast."""
     df = _silver(spark, sf, "bureau")
     natural = ["credit_active", "days_credit_enddate"]
-    dimension = create_dimension(df, natural, "pair_id")
+    dimension = create_dimension(df, natural, "pair_id", small=-1)
     keyed = attach_key(df, dimension, broadcast_limit=0)
     return keyed.select("sk_id_bureau", *natural, "pair_id")
 
@@ -537,7 +544,7 @@ def attach_key_shuffled_equal(spark, sf):
     """The same without matching missing values."""
     df = _silver(spark, sf, "bureau")
     natural = ["credit_active", "days_credit_enddate"]
-    dimension = create_dimension(df, natural, "pair_id")
+    dimension = create_dimension(df, natural, "pair_id", small=-1)
     keyed = attach_key(df, dimension, null_safe=False, broadcast_limit=0)
     return keyed.select("sk_id_bureau", *natural, "pair_id")
 
@@ -546,7 +553,7 @@ def attach_key_shuffled_equal(spark, sf):
 def attach_key_hot_equal_rows(spark, sf):
     """Narrow rows, most of them equal to many others, in a dimension too large to broadcast."""
     df = _raw(spark, sf, "bureau_balance").select("status", "months_balance")
-    dimension = create_dimension(df, ["status", "months_balance"], "pair_id")
+    dimension = create_dimension(df, ["status", "months_balance"], "pair_id", small=-1)
     return attach_key(df, dimension, broadcast_limit=-1)
 
 
@@ -555,7 +562,7 @@ def attach_keys_together(spark, sf):
     """Three dimensions that are too large to broadcast, looked up in one shuffle."""
     df = _silver(spark, sf, "bureau")
     dimensions = [
-        create_dimension(df, natural, key)
+        create_dimension(df, natural, key, small=-1)
         for key, natural in (
             ("pair_id", ["credit_active", "days_credit_enddate"]),
             ("type_id", ["credit_type"]),

@@ -1,8 +1,9 @@
 """Consecutive row numbers, dimensions, and the lookup of their keys.
 
-Numbering never moves all rows through one task: the rows are sorted by range
-across the cluster, staged, and every partition's numbers start where those of
-the partitions before it end.
+Numbering does not move a large table through one task: the rows are sorted by
+range across the cluster, staged, and every partition's numbers start where those
+of the partitions before it end. A table whose rows come from an input of at most the session's
+broadcast limit is sorted and numbered by one task while it is stored.
 
 A lookup broadcasts a dimension only if its measured size is under the limit.
 A larger one is joined by a shuffle that keeps frequent natural keys apart.
@@ -10,17 +11,17 @@ A larger one is joined by a shuffle that keeps frequent natural keys apart.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditlake.functions.columns import key_first
-from creditlake.operators.sizes import session_limit
+from creditlake.operators.sizes import estimated_size, session_limit
 from creditlake.staging import stage
 
 # A natural key is frequent if it holds more than this share of all rows, so
@@ -35,9 +36,11 @@ _PLACE_BITS = 33
 
 @dataclass(frozen=True)
 class Dimension:
-    """A staged table whose rows carry consecutive keys from 0.
+    """A stored table whose rows carry consecutive keys from 0.
 
-    ``size`` is what a lookup needs of it, key and natural key, in bytes.
+    ``size`` is what a lookup needs of it, key and natural key, in bytes. ``frequent``
+    has the rows that are frequent in the table it was counted from, if these are known;
+    a ``unique`` one has one row for each row of its table.
     """
 
     frame: DataFrame
@@ -46,19 +49,31 @@ class Dimension:
     rows: int
     size: int
     frequent: DataFrame | None = None
+    unique: bool = False
 
 
-def create_dimension(df: DataFrame, columns: Sequence[str], key: str) -> Dimension:
+# Writes a table and returns it read back.
+Store = Callable[[DataFrame], DataFrame]
+
+
+def create_dimension(
+    df: DataFrame, columns: Sequence[str], key: str, store: Store = stage, small: int | None = None
+) -> Dimension:
     """The distinct tuples of ``columns`` with a key first.
 
     The key is the position in the order of ``columns``, NULL first: the same
-    rows get the same keys whatever the partitioning.
+    rows get the same keys whatever the partitioning. ``store`` says where the
+    table goes, by default to the staging folder. An input of at most ``small`` bytes by
+    Spark's estimate (by default the session's broadcast limit) is numbered by one task.
     """
+    if _is_small(df.select(*columns), small):
+        return _numbered_at_once(df.select(*columns).distinct(), key, columns, columns, store)
     counted = df.groupBy(*columns).agg(F.count("*").alias(_ROWS))
     numbered = _number(counted, key, columns, columns, weight=F.col(_ROWS))
     frequent = numbered.frame.filter(F.col(_ROWS) > numbered.weight * HOT_SHARE)
+    frame = numbered.frame.select(key, *columns)
     return Dimension(
-        numbered.frame.select(key, *columns),
+        frame if store is stage else store(frame),
         key,
         tuple(columns),
         numbered.rows,
@@ -68,17 +83,42 @@ def create_dimension(df: DataFrame, columns: Sequence[str], key: str) -> Dimensi
 
 
 def add_key(
-    df: DataFrame, key: str, order_by: Sequence[str], natural_key: Sequence[str] | None = None
+    df: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    natural_key: Sequence[str] | None = None,
+    store: Store = stage,
+    small: int | None = None,
 ) -> Dimension:
     """A key first for every row of ``df``, by position in the order of ``order_by``.
 
-    ``order_by`` must be unique, or the order of equal rows is open.
+    ``order_by`` must be unique, or the order of equal rows is open. ``store`` and ``small`` are as in
+    :func:`create_dimension`.
     """
     columns = tuple(natural_key or order_by)
+    if _is_small(df, small):
+        return replace(_numbered_at_once(df, key, order_by, columns, store), unique=True)
     numbered = _number(df, key, order_by, columns)
-    return Dimension(
-        key_first(numbered.frame, [key]), key, columns, numbered.rows, numbered.size
-    )
+    frame = key_first(numbered.frame, [key])
+    frame = frame if store is stage else store(frame)
+    return Dimension(frame, key, columns, numbered.rows, numbered.size, unique=True)
+
+
+def _is_small(df: DataFrame, small: int | None) -> bool:
+    return estimated_size(df) <= (session_limit(df) if small is None else small)
+
+
+def _numbered_at_once(
+    df: DataFrame, key: str, order_by: Sequence[str], columns: Sequence[str], store: Store
+) -> Dimension:
+    """``df`` sorted and numbered by the one task that writes it; its totals come with the write."""
+    ordered = df.coalesce(1).sortWithinPartitions(*[F.asc_nulls_first(c) for c in order_by])
+    numbered = ordered.select(F.monotonically_increasing_id().alias(key), *df.columns)
+    totals = Observation()
+    size = F.coalesce(F.sum(_row_size(df.select(*columns))), F.lit(0)).alias("size")
+    frame = store(numbered.observe(totals, F.count("*").alias("rows"), size))
+    found = totals.get
+    return Dimension(frame, key, tuple(columns), found["rows"], found["size"])
 
 
 def attach_key(
@@ -101,9 +141,10 @@ def attach_key(
     if dimension.size <= limit:
         return _lookup(df, F.broadcast(dimension.frame), columns, key, null_safe)
 
-    frequent = dimension.frequent if counted else _frequent_tuples(df, dimension)
-    if frequent is None:
+    if counted and dimension.unique:
         return _lookup(df, dimension.frame, columns, key, null_safe)
+    known = counted and dimension.frequent is not None
+    frequent = dimension.frequent if known else _frequent_tuples(df, dimension)
     # Frequent tuples travel as two hashes and a key, so they have a bound in
     # bytes too, however long the values are.
     hot, pair = f"{_MATCH}hot", [f"{_MATCH}h1", f"{_MATCH}h2"]
@@ -311,15 +352,19 @@ def _frequent_of_all(
 ) -> list[DataFrame]:
     """The rows of each dimension that are frequent in ``df``; one pass over ``df`` finds those not known."""
     frames = [d.frame.select(d.key, *d.columns) for d in dimensions]
+    found = {}
     if counted:
-        return [f.limit(0) if d.frequent is None else d.frequent for d, f in zip(dimensions, frames)]
-    names = [f"h{i}" for i in range(len(dimensions))]
-    hashed = df.select(*[F.xxhash64(*d.columns).alias(n) for d, n in zip(dimensions, names)])
-    # At most 1 / HOT_SHARE numbers for each dimension.
-    items = hashed.freqItems(names, HOT_SHARE).first()
-    found = []
-    for d, frame, name in zip(dimensions, frames, names):
-        lines = [(h,) for h in items[f"{name}_freqItems"]]
-        hot = df.sparkSession.createDataFrame(lines, "h bigint")
-        found.append(frame.join(F.broadcast(hot), F.xxhash64(*d.columns) == F.col("h"), "left_semi"))
-    return found
+        found = {i: d.frequent for i, d in enumerate(dimensions) if d.frequent is not None}
+        found |= {i: frames[i].limit(0) for i, d in enumerate(dimensions) if d.unique}
+    open_ = [i for i in range(len(dimensions)) if i not in found]
+    if open_:
+        names = [f"h{i}" for i in open_]
+        hashed = df.select(*[F.xxhash64(*dimensions[i].columns).alias(n) for i, n in zip(open_, names)])
+        # At most 1 / HOT_SHARE numbers for each dimension.
+        items = hashed.freqItems(names, HOT_SHARE).first()
+        for i, name in zip(open_, names):
+            lines = [(h,) for h in items[f"{name}_freqItems"]]
+            hot = df.sparkSession.createDataFrame(lines, "h bigint")
+            same = F.xxhash64(*dimensions[i].columns) == F.col("h")
+            found[i] = frames[i].join(F.broadcast(hot), same, "left_semi")
+    return [found[i] for i in range(len(dimensions))]

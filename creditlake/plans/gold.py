@@ -1,27 +1,31 @@
 """Gold jobs: silver tables to star schemas.
 
-Each job returns ``{table: DataFrame}``. Dimensions are built and staged when
+Each job returns ``{table: DataFrame}``. Dimensions are built and written when
 the job is called, because a key needs the row counts of the partitions before
-it; the fact then looks its keys up in the staged tables, so keys agree between
+it: to where ``store`` puts the table of that name, else to the staging folder.
+The fact then looks its keys up in the written tables, so keys agree between
 all tables. The natural keys of one star are disjoint groups of columns: the
 pruned scans of all its dimensions together read each column once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 from creditlake.functions.columns import columns_with_prefix, lower_columns
 from creditlake.jobs import AT_ONCE, together
 from creditlake.operators.behavior import behavior
-from creditlake.operators.dimensions import Dimension, add_key, attach_keys, create_dimension
+from creditlake.operators.dimensions import Dimension, Store, add_key, attach_keys, create_dimension
 from creditlake.plans import stars
 from creditlake.plans.stars import Star
 from creditlake.settings import SEVERITY
+from creditlake.staging import stage
 
 Tables = dict[str, DataFrame]
+# Writes a table under its name and returns it read back.
+NamedStore = Callable[[str, DataFrame], DataFrame]
 
 
 def gold_application(
@@ -32,6 +36,7 @@ def gold_application(
     null_safe: bool = True,
     skip_missing: bool = False,
     at_once: int = AT_ONCE,
+    store: NamedStore | None = None,
 ) -> Tables:
     """Nine dimensions, the fact, and the label table.
 
@@ -40,7 +45,7 @@ def gold_application(
     """
     tables = build_star(
         application, stars.APPLICATION, all_keys=all_keys, only=only,
-        null_safe=null_safe, skip_missing=skip_missing, at_once=at_once,
+        null_safe=null_safe, skip_missing=skip_missing, at_once=at_once, store=store,
     )
     return tables | _chosen({"dim_app_target": target}, only)
 
@@ -53,6 +58,7 @@ def gold_bureau(
     null_safe: bool = True,
     skip_missing: bool = False,
     at_once: int = AT_ONCE,
+    store: NamedStore | None = None,
 ) -> Tables:
     """Two dimensions, the monthly table, behaviour per credit, and the fact.
 
@@ -61,11 +67,12 @@ def gold_bureau(
     wanted = only is None or {"dim_bureau_behavior", stars.BUREAU.fact} & set(only)
     histories = {}
     if wanted:
-        numbered = add_key(behavior(balance, severity=severity), "bb_id", ["sk_id_bureau"])
-        histories["dim_bureau_behavior"] = numbered
+        table = "dim_bureau_behavior"
+        put = _put(store, table, only)
+        histories[table] = add_key(behavior(balance, severity=severity), "bb_id", ["sk_id_bureau"], store=put)
     tables = build_star(
         bureau, stars.BUREAU, more=histories, only=only,
-        null_safe=null_safe, skip_missing=skip_missing, at_once=at_once,
+        null_safe=null_safe, skip_missing=skip_missing, at_once=at_once, store=store,
     )
     return _chosen({"dim_bureau_balance": balance}, only) | tables
 
@@ -99,6 +106,7 @@ def build_star(
     null_safe: bool = True,
     skip_missing: bool = False,
     at_once: int = AT_ONCE,
+    store: NamedStore | None = None,
 ) -> Tables:
     """The tables of one star, dimensions first.
 
@@ -122,7 +130,11 @@ def build_star(
     }
     needed = {table: (key, c) for table, (key, c) in needed.items() if c}
     made = together(
-        [lambda c=c, key=key: create_dimension(df, c, key) for key, c in needed.values()], at_once
+        [
+            lambda t=t, c=c, key=key: create_dimension(df, c, key, _put(store, t, only))
+            for t, (key, c) in needed.items()
+        ],
+        at_once,
     )
     ready |= dict(zip(needed, made))
 
@@ -150,6 +162,13 @@ def _fact(
     return attach_keys(df, used, null_safe, counted=True, keep=measures).select(*columns)
 
 
+def _put(store: NamedStore | None, table: str, only: Collection[str] | None) -> Store:
+    """Where a dimension goes: a table that was not asked for is staged."""
+    if store is None or (only is not None and table not in only):
+        return stage
+    return lambda df: store(table, df)
+
+
 def _natural_key(df: DataFrame, natural: tuple[str, ...] | str, skip_missing: bool) -> list[str]:
     if isinstance(natural, str):
         return columns_with_prefix(df, natural.removesuffix("*"))

@@ -100,8 +100,16 @@ def build_gold(
     }
 
     def build(job, names: tuple[str, ...]) -> None:
-        # The stars run side by side, so each makes its dimensions one by one.
-        target.publish(job(*map(source.read, names), only=tables, at_once=1))
+        stored = set()
+
+        def store(table: str, df: DataFrame) -> DataFrame:
+            target.write(df, table)
+            stored.add(table)
+            return target.read(table)
+
+        # The stars run side by side, so each makes its dimensions one by one; these are in place then.
+        made = job(*map(source.read, names), only=tables, at_once=1, store=store)
+        target.publish({t: df for t, df in made.items() if t not in stored})
 
     with scope(source.spark):
         together([lambda job=job, n=names: build(job, n) for job, names in jobs.items()], at_once)

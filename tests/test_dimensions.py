@@ -17,42 +17,64 @@ def skewed(spark):
     return hot.union(rest)
 
 
-def test_keys_are_consecutive_and_follow_the_natural_order(spark):
+BOTH_WAYS = pytest.mark.parametrize("small", [None, -1])
+
+
+@BOTH_WAYS
+def test_keys_are_consecutive_and_follow_the_natural_order(spark, small):
     df = spark.createDataFrame([("b", 2), (None, 1), ("a", 3), ("b", 1), ("b", 2)], "s string, n int")
-    dimension = create_dimension(df, ["s", "n"], "id")
+    dimension = create_dimension(df, ["s", "n"], "id", small=small)
     assert dimension.frame.columns == ["id", "s", "n"]
     assert rows(dimension.frame) == [(0, None, 1), (1, "a", 3), (2, "b", 1), (3, "b", 2)]
     assert dimension.rows == 4
+    assert dimension.size == create_dimension(df, ["s", "n"], "id").size
 
 
 def test_keys_do_not_depend_on_the_partitioning(spark):
     df = skewed(spark)
-    wanted = None
+    wanted = rows(create_dimension(df, ["a", "b"], "id", small=1 << 40).frame)
     for parts, setting in ((1, "1"), (7, "3"), (16, "40")):
         before = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", setting)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         try:
-            got = rows(create_dimension(df.repartition(parts), ["a", "b"], "id").frame)
+            got = rows(create_dimension(df.repartition(parts), ["a", "b"], "id", small=-1).frame)
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", before)
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         assert sorted(r[0] for r in got) == list(range(len(got)))
-        wanted = wanted or got
         assert got == wanted
 
 
-def test_empty_dimension(spark):
+@BOTH_WAYS
+def test_empty_dimension(spark, small):
     df = spark.createDataFrame([], "a string, v int")
-    dimension = create_dimension(df, ["a"], "id")
+    dimension = create_dimension(df, ["a"], "id", small=small)
     assert dimension.rows == 0
     assert attach_key(df, dimension).columns == ["a", "v", "id"]
     assert attach_key(df, dimension, broadcast_limit=-1).count() == 0
 
 
-def test_key_on_an_aggregate(spark):
+def test_a_stored_dimension_is_written_once_and_read_from_there(spark, tmp_path):
+    df = skewed(spark)
+    for small in (1 << 40, -1):
+        written = []
+
+        def store(frame):
+            written.append(f"{tmp_path}/{small}")
+            frame.write.parquet(written[-1])
+            return spark.read.parquet(written[-1])
+
+        dimension = create_dimension(df, ["a", "b"], "id", store, small)
+        assert len(written) == 1 and dimension.frame.inputFiles()
+        assert all(written[0] in f for f in dimension.frame.inputFiles())
+        assert rows(dimension.frame) == rows(create_dimension(df, ["a", "b"], "id").frame)
+
+
+@BOTH_WAYS
+def test_key_on_an_aggregate(spark, small):
     df = spark.createDataFrame([(30, 1.0), (10, 2.0), (20, 3.0)], "sk int, x double")
-    assert rows(add_key(df, "id", ["sk"]).frame) == [(0, 10, 2.0), (1, 20, 3.0), (2, 30, 1.0)]
+    assert rows(add_key(df, "id", ["sk"], small=small).frame) == [(0, 10, 2.0), (1, 20, 3.0), (2, 30, 1.0)]
 
 
 @pytest.mark.parametrize("limit", [None, -1])
@@ -71,7 +93,7 @@ def test_lookup_matches_a_plain_join(spark, limit, null_safe):
 
 
 def test_frequent_keys_are_found_and_few(spark):
-    dimension = create_dimension(skewed(spark), ["a", "b"], "id")
+    dimension = create_dimension(skewed(spark), ["a", "b"], "id", small=-1)
     assert rows(dimension.frequent) == [(0, None, 7)]
 
 
@@ -166,7 +188,7 @@ def several(spark):
         "IF(id % 4 = 0, 'hot', CAST(id % 90 AS STRING)) AS c", "id % 5 AS v",
     )
     natural = {"i": ["a", "b"], "j": ["c"], "k": ["b", "c"]}
-    return df, [create_dimension(df, columns, key) for key, columns in natural.items()]
+    return df, [create_dimension(df, columns, key, small=-1) for key, columns in natural.items()]
 
 
 @pytest.mark.parametrize("counted", [True, False])

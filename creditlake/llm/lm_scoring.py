@@ -47,7 +47,7 @@ VOCABULARY = 1_024
 ROUNDS = 2
 FAN_IN = 16
 # Tokens of the documents that run side by side, and words a task counts before it hands them on.
-TOGETHER = 2_000_000
+TOGETHER = 4_200_000
 COUNTED = 400_000
 
 # The end of a document; no word holds a line feed.

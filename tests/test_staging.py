@@ -70,7 +70,9 @@ def test_profiles_leave_nothing_however_often_they_are_asked_for(spark):
 
 def shuffle_files(spark):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    return sum(disk.getAllFiles().apply(i).getName().startswith("shuffle") for i in range(disk.getAllFiles().size()))
+    # One listing: files come and go meanwhile.
+    files = disk.getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle") for i in range(files.size()))
 
 
 def test_a_scope_leaves_no_shuffle_files_and_no_setting(spark):

@@ -12,7 +12,7 @@ A larger one is joined by a shuffle that keeps frequent natural keys apart.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 from typing import NamedTuple
 
@@ -39,8 +39,8 @@ class Dimension:
     """A stored table whose rows carry consecutive keys from 0.
 
     ``size`` is what a lookup needs of it, key and natural key, in bytes. ``frequent``
-    has the rows that are frequent in the table it was counted from, if these are known;
-    a ``unique`` one has one row for each row of its table.
+    has the rows that are frequent in the table it was counted from; None where no row can be,
+    or where that table was so small that it does not matter.
     """
 
     frame: DataFrame
@@ -49,7 +49,6 @@ class Dimension:
     rows: int
     size: int
     frequent: DataFrame | None = None
-    unique: bool = False
 
 
 # Writes a table and returns it read back.
@@ -97,11 +96,11 @@ def add_key(
     """
     columns = tuple(natural_key or order_by)
     if _is_small(df, small):
-        return replace(_numbered_at_once(df, key, order_by, columns, store), unique=True)
+        return _numbered_at_once(df, key, order_by, columns, store)
     numbered = _number(df, key, order_by, columns)
     frame = key_first(numbered.frame, [key])
     frame = frame if store is stage else store(frame)
-    return Dimension(frame, key, columns, numbered.rows, numbered.size, unique=True)
+    return Dimension(frame, key, columns, numbered.rows, numbered.size)
 
 
 def _is_small(df: DataFrame, small: int | None) -> bool:
@@ -141,10 +140,9 @@ def attach_key(
     if dimension.size <= limit:
         return _lookup(df, F.broadcast(dimension.frame), columns, key, null_safe)
 
-    if counted and dimension.unique:
+    frequent = dimension.frequent if counted else _frequent_tuples(df, dimension)
+    if frequent is None:
         return _lookup(df, dimension.frame, columns, key, null_safe)
-    known = counted and dimension.frequent is not None
-    frequent = dimension.frequent if known else _frequent_tuples(df, dimension)
     # Frequent tuples travel as two hashes and a key, so they have a bound in
     # bytes too, however long the values are.
     hot, pair = f"{_MATCH}hot", [f"{_MATCH}h1", f"{_MATCH}h2"]
@@ -189,7 +187,8 @@ def attach_keys(
     kept = [*(df.columns if keep is None else keep)]
     limit = session_limit(df) if broadcast_limit is None else broadcast_limit
     large = [d for d in dimensions if d.size > limit]
-    if len(large) < 2 or not all(_same_types(df, d) for d in large):
+    # A small table is shuffled sooner than staged.
+    if len(large) < 2 or estimated_size(df) <= limit or not all(_same_types(df, d) for d in large):
         large = []
     # The others first, so that their natural keys need not travel.
     others = [d for d in dimensions if d not in large]
@@ -352,19 +351,14 @@ def _frequent_of_all(
 ) -> list[DataFrame]:
     """The rows of each dimension that are frequent in ``df``; one pass over ``df`` finds those not known."""
     frames = [d.frame.select(d.key, *d.columns) for d in dimensions]
-    found = {}
     if counted:
-        found = {i: d.frequent for i, d in enumerate(dimensions) if d.frequent is not None}
-        found |= {i: frames[i].limit(0) for i, d in enumerate(dimensions) if d.unique}
-    open_ = [i for i in range(len(dimensions)) if i not in found]
-    if open_:
-        names = [f"h{i}" for i in open_]
-        hashed = df.select(*[F.xxhash64(*dimensions[i].columns).alias(n) for i, n in zip(open_, names)])
-        # At most 1 / HOT_SHARE numbers for each dimension.
-        items = hashed.freqItems(names, HOT_SHARE).first()
-        for i, name in zip(open_, names):
-            lines = [(h,) for h in items[f"{name}_freqItems"]]
-            hot = df.sparkSession.createDataFrame(lines, "h bigint")
-            same = F.xxhash64(*dimensions[i].columns) == F.col("h")
-            found[i] = frames[i].join(F.broadcast(hot), same, "left_semi")
-    return [found[i] for i in range(len(dimensions))]
+        return [f.limit(0) if d.frequent is None else d.frequent for d, f in zip(dimensions, frames)]
+    names = [f"h{i}" for i in range(len(dimensions))]
+    hashed = df.select(*[F.xxhash64(*d.columns).alias(n) for d, n in zip(dimensions, names)])
+    # At most 1 / HOT_SHARE numbers for each dimension.
+    items = hashed.freqItems(names, HOT_SHARE).first()
+    found = []
+    for d, frame, name in zip(dimensions, frames, names):
+        hot = df.sparkSession.createDataFrame([(h,) for h in items[f"{name}_freqItems"]], "h bigint")
+        found.append(frame.join(F.broadcast(hot), F.xxhash64(*d.columns) == F.col("h"), "left_semi"))
+    return found

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from creditlake.functions.columns import columns_like, null_above
 from creditlake.functions.scalars import is_missing
-from creditlake.operators.sizes import estimated_size, session_limit
+from creditlake.operators.sizes import estimated_size, has_wide_condition, session_limit
 from creditlake.settings import DAY_LIMIT
 from creditlake.staging import stage
 
@@ -194,8 +194,12 @@ def _one_per_key(
 
 
 def _settled(df: DataFrame) -> DataFrame:
-    """``df``, staged if reading it again could give other rows."""
-    return df if df._jdf.queryExecution().analyzed().deterministic() else stage(df)
+    """``df``, staged if reading it again could give other rows, or if a wide condition is below.
+
+    Filters and joins above a wide condition can keep the optimizer busy for hours.
+    """
+    again = df._jdf.queryExecution().analyzed().deterministic() and not has_wide_condition(df)
+    return df if again else stage(df)
 
 
 def _smallest(

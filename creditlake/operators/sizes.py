@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Columns in one condition from which on Spark's optimizer is slow with what comes above:
+# it keeps each condition once for every choice of columns that are renamed since.
+WIDE = 12
+
 
 def session_limit(df: DataFrame) -> int:
     """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
@@ -13,3 +17,15 @@ def session_limit(df: DataFrame) -> int:
 def estimated_size(df: DataFrame) -> int:
     """Spark's estimate of the bytes of ``df``; very large where nothing is known."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def has_wide_condition(df: DataFrame) -> bool:
+    """Whether rows were filtered or joined by more than ``WIDE`` columns at once."""
+    open_ = [df._jdf.queryExecution().analyzed()]
+    while open_:
+        plan = open_.pop()
+        if plan.nodeName() in ("Filter", "Join") and plan.references().size() > WIDE:
+            return True
+        children = plan.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+    return False

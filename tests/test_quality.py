@@ -2,6 +2,7 @@ import math
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from creditlake.operators import quality as Q
 
@@ -110,3 +111,13 @@ def test_audit_taken_along_equals_the_report(spark, tmp_path):
         assert rows(taken) == rows(Q.quality_report(df, "t", keys))
         plain = Q.quality_clean(df, keys)
         assert rows(spark.read.parquet(f"{tmp_path}/{i}")) == rows(plain)
+
+
+def test_a_condition_on_many_columns_does_not_stop_the_planner(spark):
+    """Spark would keep the condition once for each of 2^40 choices of renamed columns."""
+    names = [f"c{i}" for i in range(40)]
+    df = spark.range(100).selectExpr("id % 20 AS C0", *[f"id + {i} AS C{i}" for i in range(1, 40)])
+    df = df.union(df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(3)) >= 0)).toDF(*names)
+    kept = Q.dedup(df, ["c0"], small=-1)
+    assert sorted(r["c0"] for r in kept.collect()) == list(range(20))
+    assert sorted(r["c39"] for r in kept.collect()) == list(range(39, 59))

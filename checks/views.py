@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditlake.operators.sizes import PARTITION_BYTES, input_size, session_limit
+
 Columns = list[tuple[str, str, str]]
 
 
@@ -259,8 +261,13 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def source(spark: SparkSession, sf_dir: str, name: str, text: str | None = None) -> DataFrame:
-    """A loan source over the given tables, whole; ``text`` replaces its own."""
+    """A loan source over the given tables, whole; ``text`` replaces its own.
+
+    Large tables that are joined meet in partitions that a task can sort, however large they are.
+    """
     tables = {t: given(spark, sf_dir, t) for t in _GIVEN[name]}
+    if name == "installments_payments":
+        tables = _met(tables, {"lineitem": "l_orderkey", "orders": "o_orderkey"})
     text = (text or SOURCES[name]).replace("{", "{{").replace("}", "}}")
     for table in tables:
         text = text.replace(f"FROM {table}", f"FROM {{{table}}}").replace(
@@ -269,6 +276,15 @@ def source(spark: SparkSession, sf_dir: str, name: str, text: str | None = None)
     return spark.sql(text, **tables)
 
 
+def _met(tables: dict[str, DataFrame], keys: dict[str, str]) -> dict[str, DataFrame]:
+    """``tables`` hashed by ``keys`` into one number of partitions, if none is small enough to broadcast."""
+    sizes = [input_size(df) for df in tables.values()]
+    if min(sizes) <= session_limit(tables[next(iter(keys))]):
+        return tables
+    parts = -(-sum(sizes) // PARTITION_BYTES)
+    return {t: df.repartition(parts, keys[t]) for t, df in tables.items()}
+
+
 def repeated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A loan source in which about every third row stands twice."""
     once = source(spark, sf_dir, name)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from creditlake.functions.columns import columns_like, null_above
 from creditlake.functions.scalars import is_missing
-from creditlake.operators.sizes import estimated_size, has_wide_condition, session_limit
+from creditlake.operators.sizes import estimated_size, has_wide_condition, session_limit, spread
 from creditlake.settings import DAY_LIMIT
 from creditlake.staging import stage
 
@@ -39,7 +39,7 @@ def dedup(
     instead, since planning more would take longer.
     """
     if not keys:
-        return df.dropDuplicates()
+        return spread(df, df.columns).dropDuplicates()
     return _one_per_key(df, keys, order_by, small).drop(_COPIES)
 
 
@@ -158,7 +158,7 @@ def _kept(
     """The rows that cleaning keeps, each with its number of copies."""
     if keys:
         return _one_per_key(df, keys, order_by)
-    return df.groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
+    return spread(df, df.columns).groupBy(*df.columns).agg(F.count("*").alias(_COPIES))
 
 
 def _one_per_key(

@@ -5,6 +5,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from creditlake.operators import quality as Q
+from creditlake.operators import sizes
 
 
 def rows(df):
@@ -121,3 +122,14 @@ def test_a_condition_on_many_columns_does_not_stop_the_planner(spark):
     kept = Q.dedup(df, ["c0"], small=-1)
     assert sorted(r["c0"] for r in kept.collect()) == list(range(20))
     assert sorted(r["c39"] for r in kept.collect()) == list(range(39, 59))
+
+
+def test_whole_rows_are_compared_in_more_partitions_if_the_input_is_larger(spark, tmp_path):
+    """Not in more rows a partition; and hashed so that the copies of a row still meet."""
+    spark.range(2_000_000).selectExpr("xxhash64(id % 1500000) AS a", "xxhash64(-(id % 1500000)) AS b").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    parts = -(-sizes.input_size(df) // sizes.PARTITION_BYTES)
+    assert sizes.input_size(df) > sizes.session_limit(df) and parts > 4
+    kept = Q.dedup(df)
+    assert kept.rdd.getNumPartitions() == parts and kept.count() == 1_500_000
+    assert sizes.input_size(df.union(df)) == 2 * sizes.input_size(df)

@@ -28,6 +28,8 @@ import numpy as np
 # Tuples of a queue kept in memory, and LMS suffixes that are sorted in memory.
 QUEUE_TUPLES = 4_000_000
 IN_MEMORY = 4_000_000
+# Suffixes whose characters are looked at together; what that takes besides them is bounded.
+AT_ONCE = 1 << 15
 
 
 class TupleQueue:
@@ -254,13 +256,17 @@ class _Least:
 def _types(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one; the end mark is."""
     n = len(text)
-    step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1].astype(np.int64))
-    step[-1] = 1
+    rises = np.append(text[1:] > text[:-1], True)
     # Equal neighbours take the type of the next place where the text changes.
-    change = np.where(step != 0, np.arange(n), n - 1)
-    change = np.minimum.accumulate(change[::-1])[::-1]
-    return step[change] > 0
+    places = np.arange(n, dtype=_kind(n))
+    change = np.where(np.append(text[1:] != text[:-1], True), places, places[-1])
+    np.minimum.accumulate(change[::-1], out=change[::-1])
+    return rises[change]
+
+
+def _kind(n: int) -> type:
+    """The integers that number ``n`` places."""
+    return np.int32 if n < 1 << 31 else np.int64
 
 
 def _by_key(text, positions, common) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -273,10 +279,14 @@ def _by_key(text, positions, common) -> dict[int, tuple[np.ndarray, np.ndarray]]
 def _words(text: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The eight characters from each place on as one number; beyond its bound the greatest character."""
     words = np.zeros(len(at), np.uint64)
-    for k in range(8):
-        place = at + k
-        taken = text[np.minimum(place, len(text) - 1)].astype(np.uint64)
-        words = (words << np.uint64(8)) | np.where(place < bounds, taken, np.uint64(255))
+    for low in range(0, len(at), AT_ONCE):
+        begin, bound = at[low : low + AT_ONCE], bounds[low : low + AT_ONCE]
+        made = words[low : low + AT_ONCE]
+        for k in range(8):
+            place = begin + k
+            taken = text[np.minimum(place, len(text) - 1)].astype(np.uint64)
+            made <<= np.uint64(8)
+            made |= np.where(place < bound, taken, np.uint64(255))
     return words
 
 
@@ -295,20 +305,20 @@ def _order(text, lms, depth, limit, in_memory) -> np.ndarray:
 def _names(text, lms, depth) -> tuple[np.ndarray, int]:
     """Ranks of the LMS substrings; a substring that begins another is the greater one."""
     ends = np.minimum(np.append(lms[1:], len(text) - 1), lms + depth + 8) + 1
-    rank = np.zeros(len(lms), np.int64)
-    order = np.arange(len(lms))
-    open_, at = order, 0
+    kind = _kind(len(lms))
+    rank = np.zeros(len(lms), kind)
+    open_, at = np.arange(len(lms), dtype=kind), 0
     while len(open_):
         words = _words(text, lms[open_] + at, ends[open_])
         by = np.lexsort((words, rank[open_]))
         items = open_[by]
         group, word = rank[items], words[by]
+        del by, words
         new_group = np.concatenate([[True], group[1:] != group[:-1]])
         fresh = new_group | np.concatenate([[True], word[1:] != word[:-1]])
+        del word
         # Ranks count places, so that groups split without moving others.
-        begin = np.maximum.accumulate(np.where(new_group, np.arange(len(items)), 0))
-        head = np.maximum.accumulate(np.where(fresh, np.arange(len(items)), 0))
-        rank[items] = group + head - begin
+        rank[items] = group + _heads(fresh, kind) - _heads(new_group, kind)
         sizes = np.diff(np.append(np.flatnonzero(fresh), len(items)))
         tied = np.repeat(sizes > 1, sizes)
         at += 8
@@ -317,6 +327,12 @@ def _names(text, lms, depth) -> tuple[np.ndarray, int]:
     return names, len(used)
 
 
+def _heads(first: np.ndarray, kind: type) -> np.ndarray:
+    """For each place the last one up to it that is a ``first``."""
+    places = np.where(first, np.arange(len(first), dtype=kind), kind(0))
+    return np.maximum.accumulate(places, out=places)
+
+
 def _names_of_numbers(text, lms) -> tuple[np.ndarray, int]:
     """The same for a string of numbers, at deeper levels of the recursion."""
     ends = np.append(lms[1:], len(text) - 1) + 1
@@ -335,23 +351,25 @@ def _names_of_numbers(text, lms) -> tuple[np.ndarray, int]:
 
 def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
     """The order of a string's suffixes by doubling; those told apart drop out."""
-    n = len(names)
-    counts = np.bincount(names)
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    rank = starts[names] + 1
-    open_ = np.flatnonzero(counts[names] > 1)
+    n, kind = len(names), _kind(len(names) + 1)
+    counts = np.bincount(names).astype(kind)
+    starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(kind)
+    rank = starts[names] + kind(1)
+    open_ = np.flatnonzero(counts[names] > 1).astype(kind)
+    del counts, starts
     width = 1
     # Each name stands for two characters at least.
     while len(open_) and 2 * width < depth + 2:
         after = open_ + width
-        second = np.where(after < n, rank[np.minimum(after, n - 1)], 0)
+        second = np.where(after < n, rank[np.minimum(after, n - 1)], kind(0))
         order = np.lexsort((second, rank[open_]))
-        items, low, high = open_[order], second[order], rank[open_][order]
+        items, low = open_[order], second[order]
+        del after, second, order
+        high = rank[items]
         new_group = np.concatenate([[True], high[1:] != high[:-1]])
         fresh = new_group | np.concatenate([[True], low[1:] != low[:-1]])
-        begin = np.maximum.accumulate(np.where(new_group, np.arange(len(items)), 0))
-        head = np.maximum.accumulate(np.where(fresh, np.arange(len(items)), 0))
-        rank[items] = high + head - begin
+        del low
+        rank[items] = high + _heads(fresh, kind) - _heads(new_group, kind)
         sizes = np.diff(np.append(np.flatnonzero(fresh), len(items)))
         open_ = items[np.repeat(sizes > 1, sizes)]
         width *= 2
@@ -368,19 +386,23 @@ def _recursive(names: np.ndarray, depth: int, limit: int, in_memory: int) -> np.
 def _common(text: np.ndarray, ordered: np.ndarray, depth: int) -> np.ndarray:
     """What each suffix shares with the one before it, at most ``depth``."""
     n = len(ordered)
-    shared = np.zeros(n, np.int64)
-    open_ = np.arange(1, n)
+    shared = np.zeros(n, np.uint8)
+    open_ = np.arange(1, n, dtype=_kind(n))
     at = 0
-    end = np.full(n, len(text))
     while len(open_) and at < depth:
-        a, b = ordered[open_ - 1] + at, ordered[open_] + at
-        differ = _words(text, a, end[open_]) ^ _words(text, b, end[open_])
-        same = differ == 0
-        # Leading zero bytes of the difference are equal characters.
-        rest = open_[~same]
-        lead = 7 - (np.frexp(differ[~same].astype(np.longdouble))[1] - 1) // 8
-        shared[rest] = at + lead
-        open_ = open_[same]
+        left = []
+        for low in range(0, len(open_), AT_ONCE):
+            part = open_[low : low + AT_ONCE]
+            a, b = ordered[part - 1] + at, ordered[part] + at
+            end = np.full(len(part), len(text))
+            differ = _words(text, a, end) ^ _words(text, b, end)
+            same = differ == 0
+            # Leading zero bytes of the difference are equal characters.
+            rest = part[~same]
+            lead = 7 - (np.frexp(differ[~same].astype(np.longdouble))[1] - 1) // 8
+            shared[rest] = np.minimum(at + lead, depth)
+            left.append(part[same])
+        open_ = np.concatenate(left)
         at += 8
-        shared[open_] = at
-    return np.minimum(shared, depth).astype(np.uint8)
+        shared[open_] = min(at, depth)
+    return shared

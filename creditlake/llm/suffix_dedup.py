@@ -264,12 +264,12 @@ def _marked(held: list[tuple]) -> pa.RecordBatch:
     ends = np.cumsum(sizes)
     begins = ends - sizes
     often = np.repeat([row[4] > 1 for row in held], sizes)
-    owner = np.repeat(np.arange(len(held)), sizes)
-    inside = np.arange(len(text)) <= (ends - 1 - LENGTH)[owner]
+    starts = np.maximum(sizes - LENGTH, 0)
+    inside = np.repeat(np.tile([True, False], len(held)), np.stack([starts, sizes - starts], 1).ravel())
     marked = np.concatenate([[False], (found | often) & inside, [False]])
     first = np.flatnonzero(~marked[:-1] & marked[1:])
     after = np.flatnonzero(marked[:-1] & ~marked[1:])
-    rows, of = [], owner[first]
+    rows, of = [], np.searchsorted(ends, first, side="right")
     cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.zeros(0, int)
     for x, y in zip(cuts, np.append(cuts[1:], len(of))):
         k = int(of[x])

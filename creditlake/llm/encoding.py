@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import regex
@@ -66,16 +67,26 @@ class _Kept(dict):
 
 
 class _Closed(_Kept):
-    """Pieces that end in one of ``marks`` after a letter are put together from both parts."""
+    """Pieces that end in one of ``marks`` after a letter are put together from both parts.
 
-    def __init__(self, make, marks: dict[str, bytes]):
+    So are, with ``line`` as the ids of a line feed, those that hold single line feeds: no
+    token of the byte vocabulary crosses one that has no white space beside it. ``lines``
+    looks up what follows them, by default these pieces themselves.
+    """
+
+    def __init__(self, make, marks: dict[str, bytes], line: bytes | None = None, lines: _Kept | None = None):
         super().__init__(make)
-        self.marks = marks
+        self.marks, self.line = marks, line
+        self.lines = self if lines is None else lines
 
     def __missing__(self, key):
         mark = self.marks.get(key[-1:])
         if mark is not None and key[:-1].isalpha():
             return self[key[:-1]] + mark
+        if self.line is not None and "\n" in key:
+            head, *rest = key.split("\n")
+            if head and all(rest) and not any(a[-1].isspace() or b[0].isspace() for a, b in pairwise([head, *rest])):
+                return self.line.join([self[head], *map(self.lines.__getitem__, rest)])
         return super().__missing__(key)
 
 
@@ -94,8 +105,9 @@ class Encoder:
         self.letters = byte_letters()
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         marks = {m: self._library(m) for m in ".,;:!?)"}
-        self.first = _Closed(self._piece, marks)
-        self.later = _Closed(self._later, marks)
+        line = self._library("\n") if self.byte_level else None
+        self.first = _Closed(self._piece, marks, line)
+        self.later = _Closed(self._later, marks, line, self.first)
 
     def encode(self, text: str) -> bytes:
         if not text:

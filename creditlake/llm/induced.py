@@ -31,6 +31,9 @@ IN_MEMORY = 4_000_000
 # Suffixes whose characters are looked at together; what that takes besides them is bounded.
 AT_ONCE = 1 << 15
 
+# By the number of characters inside the bound: all bits of those that follow, of eight.
+_BEYOND = np.array([(1 << 8 * (8 - k)) - 1 for k in range(9)], np.uint64)
+
 
 class TupleQueue:
     """A priority queue of (position, common prefix) by first character, partly on disk."""
@@ -246,7 +249,7 @@ class _Least:
     def between(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         level = np.frexp(end - begin + 1)[1] - 1
         out = np.empty(len(begin), np.uint8)
-        for k in np.unique(level):
+        for k in np.flatnonzero(np.bincount(level)):
             at = np.flatnonzero(level == k)
             row = self.levels[k]
             out[at] = np.minimum(row[begin[at]], row[end[at] - (1 << int(k)) + 1])
@@ -276,17 +279,20 @@ def _by_key(text, positions, common) -> dict[int, tuple[np.ndarray, np.ndarray]]
     return {int(first[a]): (positions[a:b], common[a:b]) for a, b in zip(cuts.tolist(), ends.tolist())}
 
 
-def _words(text: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def _eights(text: np.ndarray) -> np.ndarray:
+    """The eight characters from each place on as one big-endian number: overlapping views of one copy."""
+    padded = np.append(text, np.zeros(8, np.uint8))
+    return np.ndarray(len(text), ">u8", padded, strides=(1,))
+
+
+def _words(eights: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The eight characters from each place on as one number; beyond its bound the greatest character."""
-    words = np.zeros(len(at), np.uint64)
+    words = np.empty(len(at), np.uint64)
     for low in range(0, len(at), AT_ONCE):
         begin, bound = at[low : low + AT_ONCE], bounds[low : low + AT_ONCE]
-        made = words[low : low + AT_ONCE]
-        for k in range(8):
-            place = begin + k
-            taken = text[np.minimum(place, len(text) - 1)].astype(np.uint64)
-            made <<= np.uint64(8)
-            made |= np.where(place < bound, taken, np.uint64(255))
+        taken = eights[np.minimum(begin, len(eights) - 1)].astype(np.uint64)
+        inside = np.clip(bound - begin, 0, 8)
+        words[low : low + AT_ONCE] = taken | _BEYOND[inside]
     return words
 
 
@@ -307,9 +313,9 @@ def _names(text, lms, depth) -> tuple[np.ndarray, int]:
     ends = np.minimum(np.append(lms[1:], len(text) - 1), lms + depth + 8) + 1
     kind = _kind(len(lms))
     rank = np.zeros(len(lms), kind)
-    open_, at = np.arange(len(lms), dtype=kind), 0
+    open_, at, eights = np.arange(len(lms), dtype=kind), 0, _eights(text)
     while len(open_):
-        words = _words(text, lms[open_] + at, ends[open_])
+        words = _words(eights, lms[open_] + at, ends[open_])
         by = np.lexsort((words, rank[open_]))
         items = open_[by]
         group, word = rank[items], words[by]
@@ -362,7 +368,8 @@ def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
     while len(open_) and 2 * width < depth + 2:
         after = open_ + width
         second = np.where(after < n, rank[np.minimum(after, n - 1)], kind(0))
-        order = np.lexsort((second, rank[open_]))
+        # Both ranks as one number; what is still equal may come in any order.
+        order = np.argsort(rank[open_].astype(np.int64) * (n + 1) + second)
         items, low = open_[order], second[order]
         del after, second, order
         high = rank[items]
@@ -388,14 +395,14 @@ def _common(text: np.ndarray, ordered: np.ndarray, depth: int) -> np.ndarray:
     n = len(ordered)
     shared = np.zeros(n, np.uint8)
     open_ = np.arange(1, n, dtype=_kind(n))
-    at = 0
+    at, eights = 0, _eights(text)
     while len(open_) and at < depth:
         left = []
         for low in range(0, len(open_), AT_ONCE):
             part = open_[low : low + AT_ONCE]
             a, b = ordered[part - 1] + at, ordered[part] + at
             end = np.full(len(part), len(text))
-            differ = _words(text, a, end) ^ _words(text, b, end)
+            differ = _words(eights, a, end) ^ _words(eights, b, end)
             same = differ == 0
             # Leading zero bytes of the difference are equal characters.
             rest = part[~same]

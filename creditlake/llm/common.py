@@ -14,6 +14,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows of a slice that a Python task turns into objects at a time.
 SLICE = 128
 
+# What this process keeps from one task to the next, by kind.
+_KEPT: dict[str, tuple] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -25,6 +28,27 @@ def fold(column: str | Column, folds: int = 5) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def in_process(kind: str, name, make: Callable):
+    """This process's object of a kind; that of another name, or what is missing, is made anew."""
+    if kind not in _KEPT or _KEPT[kind][0] != name:
+        _KEPT.pop(kind, None)
+        _KEPT[kind] = name, make()
+    return _KEPT[kind][1]
+
+
+def give_back(but: str | None = None) -> None:
+    """Drop what is kept of other kinds and return freed memory to the system.
+
+    Spark goes on with the same Python processes, so a step that needs much memory would have it on top of
+    what the steps before it have left there.
+    """
+    for kind in [*_KEPT]:
+        if kind != but:
+            del _KEPT[kind]
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def map_slices(
     df: DataFrame, function: Callable[[list[dict]], Iterator[dict]], schema: str, rows: int = SLICE
 ) -> DataFrame:

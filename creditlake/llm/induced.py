@@ -112,7 +112,7 @@ def _sorted(text: np.ndarray, depth: int, limit: int, in_memory: int, carry: boo
     """
     n = len(text)
     s_type = _types(text)
-    lms = np.flatnonzero(s_type & np.concatenate([[False], ~s_type[:-1]]))
+    lms = np.flatnonzero(s_type & np.concatenate([[False], ~s_type[:-1]])).astype(_kind(n))
     ordered = _order(text, lms, depth, limit, in_memory)
     common = _common(text, ordered, depth) if carry else np.zeros(len(ordered), np.uint8)
     keys = np.unique(text)
@@ -147,9 +147,9 @@ def _sorted(text: np.ndarray, depth: int, limit: int, in_memory: int, carry: boo
             shared[0] = 0
         elif key == 0:
             # The end mark is the only suffix that nothing induces.
-            positions, shared = np.array([n - 1]), np.zeros(1, np.uint8)
+            positions, shared = np.array([n - 1], lms.dtype), np.zeros(1, np.uint8)
         else:
-            positions, shared = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+            positions, shared = np.zeros(0, lms.dtype), np.zeros(0, np.uint8)
         if falling:
             high = np.concatenate([p for p, _ in falling])[::-1]
             up = np.concatenate([c for _, c in falling])
@@ -300,8 +300,8 @@ def _order(text, lms, depth, limit, in_memory) -> np.ndarray:
     """The LMS places in the order of their suffixes, right to ``depth`` characters."""
     names, distinct = _names(text, lms, depth) if text.dtype == np.uint8 else _names_of_numbers(text, lms)
     if distinct == len(lms):
-        order = np.empty(len(lms), np.int64)
-        order[names] = np.arange(len(lms))
+        order = np.empty(len(lms), lms.dtype)
+        order[names] = np.arange(len(lms), dtype=lms.dtype)
         return lms[order]
     if len(lms) <= in_memory:
         return lms[_doubled(names, depth)]

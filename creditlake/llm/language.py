@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from creditlake.llm.common import map_slices
+from creditlake.llm.common import give_back, in_process, map_slices
 
 # The sample: so many documents of each label and in all, of at most so many characters.
 SAMPLE_PER_LABEL = 400
@@ -202,19 +202,14 @@ def keep_identified(docs: DataFrame, learn: Column) -> DataFrame:
                 kept = [i for i, text in enumerate(part.column(at).to_pylist()) if not scorer.predict(text)[2]]
                 if kept:
                     yield part.take(kept)
+        give_back(but="scorer")
 
     return docs.mapInArrow(run, docs.schema)
 
 
-_SCORERS: list[tuple[bytes, Scorer]] = []
-
-
 def _scorer(model: Model) -> Scorer:
     """This process's scorer of a model, with the words it knows already."""
-    name = model.table.tobytes()[:4096] + model.bias.tobytes()
-    if not _SCORERS or _SCORERS[0][0] != name:
-        _SCORERS[:] = [(name, Scorer(model))]
-    return _SCORERS[0][1]
+    return in_process("scorer", model.table.tobytes()[:4096] + model.bias.tobytes(), lambda: Scorer(model))
 
 
 def _examples(rows, number, random) -> list[tuple[np.ndarray, np.ndarray, int]]:

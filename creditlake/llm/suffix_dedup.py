@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from xxhash import xxh3_64_intdigest
 
+from creditlake.llm.common import SLICE, give_back
 from creditlake.llm.induced import repeats
 from creditlake.staging import scope, stage
 
@@ -178,6 +179,7 @@ def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for at in range(0, max(1, len(data) - LENGTH + 1), BLOCK):
                     yield k1[i], k2[i], at, data[at : at + BLOCK + LENGTH - 1]
 
+    give_back()
     held, size = [], 0
     for block in blocks():
         held.append(block)
@@ -240,6 +242,7 @@ _MARKS_ARROW = pa.schema(
 
 
 def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    give_back()
     held, size, last = [], 0, None
     for batch in batches:
         for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
@@ -252,6 +255,8 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = row[0]
     if held:
         yield _marked(held)
+    del held
+    give_back()
 
 
 def _marked(held: list[tuple]) -> pa.RecordBatch:
@@ -293,19 +298,30 @@ def _count_strings(kinds: DataFrame) -> DataFrame:
 
 
 def _merge_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    # Marks of a few texts at a time, and as arrays: as objects they take many times their bytes.
     for batch in batches:
-        merged = []
-        for marks in batch.column(2).to_pylist():
-            edges = [(m["start"] + b, m["start"] + e - 1 + LENGTH) for m in marks for b, e in zip(m["begins"], m["ends"])]
-            found: list[list[int]] = []
-            for begin, end in sorted(edges):
-                if found and begin <= found[-1][1]:
-                    found[-1][1] = max(found[-1][1], end)
-                else:
-                    found.append([begin, end])
-            merged.append([{"begin": b, "end": e} for b, e in found])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(merged, kind)], ["k1", "k2", "spans"])
+        for begin in range(0, batch.num_rows, SLICE):
+            part = batch.slice(begin, SLICE)
+            merged = _merged(part.column(2))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), merged], ["k1", "k2", "spans"])
+
+
+def _merged(marks: pa.ListArray) -> pa.ListArray:
+    """The spans that the marked starts of each text cover."""
+    start, begins, ends = marks.flatten().flatten()
+    each = begins.value_lengths().to_numpy()
+    owner = np.repeat(np.repeat(np.arange(len(marks)), marks.value_lengths().to_numpy()), each)
+    base = np.repeat(start.to_numpy(), each)
+    begin, end = base + begins.flatten().to_numpy(), base + ends.flatten().to_numpy() + (LENGTH - 1)
+    order = np.lexsort((begin, owner))
+    # The texts one after the other, so that no span reaches into the next.
+    apart = owner[order] * (end.max(initial=0) + 1)
+    begin, end = begin[order] + apart, np.maximum.accumulate(end[order] + apart)
+    first = np.append(True, begin[1:] > end[:-1])[: len(begin)]
+    last = np.append(first[1:], True)[: len(begin)]
+    edges = np.searchsorted(owner[order][first], np.arange(len(marks) + 1)).astype(np.int32)
+    spans = [pa.array(begin[first] - apart[first]), pa.array(end[last] - apart[last])]
+    return pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(spans, ["begin", "end"]))
 
 
 def _without(rows: DataFrame, data: str, removed: str) -> DataFrame:

@@ -14,6 +14,8 @@ from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -121,6 +123,26 @@ class Encoder:
             return self._library(text)
         return b"".join(map(self.first.__getitem__, text.split()))
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """:meth:`encode` of each text. Of the word vocabulary each distinct word of them is looked up once."""
+        if self.byte_level:
+            return [self.encode(text) for text in texts]
+        plain = [text if self._splits(text) else "" for text in texts]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(map(self.first.__getitem__, distinct), pa.large_binary()).take(words.indices)
+        # The ids of a text lie one word after the other.
+        places = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1]
+        cuts = places[split.offsets.to_numpy()].tolist()
+        data = ids.buffers()[2].to_pybytes() if len(ids) else b""
+        made = [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        return [found or self.encode(text) for found, text in zip(made, texts)]
+
+    def _splits(self, text: str) -> bool:
+        """Whether the ids of ``text`` are those of its words."""
+        return not any(content in text for content in self.special) and not _ODD_SPACE.search(text)
+
     def _encode_bytes(self, text: str) -> bytes:
         # A space begins a token unless white space stands on both sides of it.
         if (

@@ -43,6 +43,8 @@ SAMPLE_ROWS = 600
 DICTIONARY_BYTES = 110 * 1024
 
 SEGMENT_BYTES = 1 << 20
+# Characters of documents that are encoded together.
+TOGETHER_CHARS = 4 << 20
 LEVEL = 3
 
 _SEGMENT = (
@@ -164,19 +166,30 @@ def _segments(tokenizer: str, end_id: int, data: bytes, name: str):
             }
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                ids = _ids(text.as_py(), tokenizer, end)
-                frame = writer.compress(ids)
-                docs.append(doc.as_py())
-                starts.append(total)
-                counts.append(len(ids) // 4)
-                offsets.append(offsets[-1] + len(frame))
-                frames.append(frame)
-                total += counts[-1]
-                if offsets[-1] >= SEGMENT_BYTES:
-                    yield segment()
-                    docs, starts, counts, offsets, frames = [], [], [], [0], []
+        def documents():
+            encode, held, texts, chars = encoder(tokenizer).encode_all, [], [], 0
+            for batch in batches:
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    held.append(doc)
+                    texts.append(text.as_py())
+                    chars += len(texts[-1])
+                    if chars >= TOGETHER_CHARS:
+                        yield from zip(held, encode(texts))
+                        held, texts, chars = [], [], 0
+            yield from zip(held, encode(texts))
+
+        for doc, ids in documents():
+            ids += end
+            frame = writer.compress(ids)
+            docs.append(doc)
+            starts.append(total)
+            counts.append(len(ids) // 4)
+            offsets.append(offsets[-1] + len(frame))
+            frames.append(frame)
+            total += counts[-1]
+            if offsets[-1] >= SEGMENT_BYTES:
+                yield segment()
+                docs, starts, counts, offsets, frames = [], [], [], [0], []
         if docs:
             yield segment()
 

@@ -15,7 +15,8 @@
 
 The score is a probability: the model spreads 1 over its words and the outside,
 and the outside spreads 1 over its words and one unknown. Training reads documents as tasks
-find them, so the model depends on how files are split into tasks.
+find them, so the model depends on how files are split into tasks. Texts are split, and their
+words counted and looked up, as Arrow arrays of some megabytes.
 
 Missing texts are empty: their end alone is scored. Rows without ``doc_id`` are
 scored as held in training (they have no fold). Repeated rows are scored each.
@@ -25,13 +26,12 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,44 +46,58 @@ BUCKETS = 1 << 16
 VOCABULARY = 1_024
 ROUNDS = 2
 FAN_IN = 16
-# Tokens of the documents that run side by side, and words a task counts before it hands them on.
+# Tokens of the documents that run side by side, bytes of the texts that are split at a time, and bytes of
+# split words that a task counts before it hands them on.
 TOGETHER = 4_200_000
-COUNTED = 400_000
+SPLIT = 8 << 20
+COUNTED = 40 << 20
 
 # The end of a document; no word holds a line feed.
 END = "\n"
 
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
-
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_LOWER).split()
+def words(column: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The words of some texts after each other, and where each text starts in them; at last, where the last one ends."""
+    texts = pc.fill_null(column, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + SPLIT, "right")))
+        part = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(at, stop - at).cast(pa.string())))
+        found, starts = part.flatten(), part.offsets.to_numpy()
+        # White space at either end of a text leaves empty words.
+        whole = pc.binary_length(found).to_numpy(zero_copy_only=False) > 0
+        if not whole.all():
+            found, starts = found.filter(pa.array(whole)), np.append(0, np.cumsum(whole))[starts]
+        yield found, starts
+        at = stop
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
     """``word`` and its count ``c`` over all rows, ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-        ends = 0
+        held, size, ends = [], 0, 0
         for batch in batches:
-            for text in batch.column(0):
-                found.update(words(text.as_py()))
-                ends += 1
-                if len(found) > COUNTED:
-                    yield _counted(found)
-                    found = Counter()
+            for found, starts in words(batch.column(0)):
+                held.append(found)
+                size += found.nbytes
+                ends += len(starts) - 1
+                if size > COUNTED:
+                    yield _counted(held)
+                    held, size = [], 0
+        if held:
+            yield _counted(held)
         if ends:
-            found[END.encode()] = ends
-            yield _counted(found)
+            yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([ends], pa.int64())], ["word", "c"])
 
     counted = docs.select("text").mapInArrow(run, "word string, c bigint")
     return counted.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _counted(found: Counter) -> pa.RecordBatch:
-    keys = pa.array(list(found), pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([keys, pa.array(list(found.values()), pa.int64())], ["word", "c"])
+def _counted(held: list[pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(pa.chunked_array(held).value_counts().flatten(), ["word", "c"])
 
 
 def score_documents(docs: DataFrame, learn: Column) -> DataFrame:
@@ -159,18 +173,38 @@ def _head(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
 
 
 @lru_cache(maxsize=1)
-def _ranks(lexicon) -> dict[bytes, int]:
-    """Ranks of the head's words in this process."""
-    return {w: i for i, w in enumerate(lexicon.value[0])}
+def _ranks(lexicon) -> pa.Array:
+    """The head's words in this process, by rank."""
+    return pa.array([w.decode() for w in lexicon.value[0]], pa.string())
+
+
+def _encoded(ranks: pa.Array, found: pa.Array, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of the tokens of texts with these words (-1 beyond the head), ends included, and where each text starts."""
+    end = pc.index(ranks, END).as_py()
+    bounds = starts + np.arange(len(starts))
+    ids = np.full(bounds[-1], end, np.int32)
+    ids[_inner(bounds)] = pc.fill_null(pc.index_in(found, value_set=ranks), -1).to_numpy(zero_copy_only=False)
+    return ids, bounds
 
 
-def _encoded(ranks: dict, end: int, text: str | None) -> tuple[np.ndarray, list[bytes]]:
-    """Ranks of a text's tokens (-1 beyond the head) and the words beyond it."""
-    found = words(text)
-    ids = np.empty(len(found) + 1, np.int32)
-    ids[:-1] = np.fromiter(map(ranks.get, found, repeat(-1)), np.int32, len(found))
-    ids[-1] = end
-    return ids, [found[i] for i in np.flatnonzero(ids[:-1] < 0).tolist()]
+def _inner(bounds: np.ndarray) -> np.ndarray:
+    """Which tokens are words and not ends."""
+    inner = np.ones(bounds[-1], bool)
+    inner[bounds[1:] - 1] = False
+    return inner
+
+
+def _beyond(ids: np.ndarray, bounds: np.ndarray, found: pa.Array) -> pa.Array:
+    """Each text's words beyond the head and how often it has them."""
+    inner = _inner(bounds)
+    rare = ids[inner] < 0
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    kinds = found.filter(pa.array(rare)).dictionary_encode()
+    size = max(1, len(kinds.dictionary))
+    held = text[inner][rare] * size + kinds.indices.to_numpy(zero_copy_only=False)
+    held, n = np.unique(held, return_counts=True)
+    pairs = pa.StructArray.from_arrays([kinds.dictionary.take(pa.array(held % size)), pa.array(n, pa.int64())], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(held, np.arange(len(bounds)) * size), pa.int32()), pairs)
 
 
 def _for_model(ids: np.ndarray, size: int) -> np.ndarray:
@@ -209,17 +243,17 @@ def _average(table: pa.Table) -> pa.Table:
 def _copies(lexicon, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, size = _ranks(lexicon), len(shared.value["embed"]) - 1
-        end = ranks.get(END.encode(), -1)
         trainer = recurrent.Trainer(shared.value)
         held, tokens = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                ids = _encoded(ranks, end, text.as_py())[0]
-                held.append(_for_model(ids, size))
-                tokens += len(ids)
-                if tokens >= TOGETHER:
-                    trainer.learn(held)
-                    held, tokens = [], 0
+            for found, starts in words(batch.column(0)):
+                ids, bounds = _encoded(ranks, found, starts)
+                for text in np.split(_for_model(ids, size), bounds[1:-1]):
+                    held.append(text)
+                    tokens += len(text)
+                    if tokens >= TOGETHER:
+                        trainer.learn(held)
+                        held, tokens = [], 0
         if held:
             trainer.learn(held)
         if trainer.tokens:
@@ -234,37 +268,40 @@ def _scorer(lexicon, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, p = _ranks(lexicon), model.value
         size = len(p["embed"]) - 1
-        end = ranks.get(END.encode(), -1)
         logs = np.append(np.log10(lexicon.value[1] + 0.5), 0.0)
         number = TaskContext.get().partitionId() << 33
 
         def scored(held):
             nonlocal number
-            found = recurrent.score(p, [_for_model(ids, size) for _, _, ids, _ in held]) / np.log(10)
-            made = []
-            for (doc, learn, ids, rare), model_log in zip(held, found):
+            texts = [text for _, ids, bounds, _ in held for text in np.split(_for_model(ids, size), bounds[1:-1])]
+            found = recurrent.score(p, texts) / np.log(10)
+            for rows, ids, bounds, rare in held:
+                heads = bounds[:-1]
                 outside = (ids < 0) | (ids >= size)
-                made.append({
-                    "row": number, "doc_id": doc, "learn": learn, "n_tokens": len(ids),
-                    "n_head": int((ids >= 0).sum()), "n_rare": int((ids < 0).sum()), "n_outside": int(outside.sum()),
-                    "head_log": float(logs[ids].sum()), "outside_log": float(logs[ids[outside]].sum()),
-                    "model_log": float(model_log),
-                    "rare": [{"word": w.decode(), "n": n} for w, n in Counter(rare).items()],
-                })
-                number += 1
-            return pa.RecordBatch.from_pylist(made, schema=_SCORED_ARROW)
+                of_head = logs[ids]
+                n, many = np.diff(bounds), np.add.reduceat(ids < 0, heads, dtype=np.int64)
+                model_log, found = found[: len(n)], found[len(n) :]
+                sums = [
+                    n, n - many, many, np.add.reduceat(outside, heads, dtype=np.int64), np.add.reduceat(of_head, heads),
+                    np.add.reduceat(np.where(outside, of_head, 0.0), heads), model_log,
+                ]
+                made = [pa.array(np.arange(number, number + len(n))), *rows, *map(pa.array, sums), rare]
+                number += len(n)
+                yield pa.RecordBatch.from_arrays(made, schema=_SCORED_ARROW)
 
         held, tokens = [], 0
         for batch in batches:
-            for doc, learn, text in zip(*(batch.column(i) for i in range(3))):
-                ids, rare = _encoded(ranks, end, text.as_py())
-                held.append((doc.as_py(), learn.as_py(), ids, rare))
-                tokens += len(ids)
-                if tokens >= TOGETHER:
-                    yield scored(held)
+            at = 0
+            for found, starts in words(batch.column(2)):
+                ids, bounds = _encoded(ranks, found, starts)
+                if held and tokens + len(ids) > TOGETHER:
+                    yield from scored(held)
                     held, tokens = [], 0
+                rows = [batch.column(i).slice(at, len(starts) - 1) for i in range(2)]
+                held.append((rows, ids, bounds, _beyond(ids, bounds, found)))
+                at, tokens = at + len(starts) - 1, tokens + len(ids)
         if held:
-            yield scored(held)
+            yield from scored(held)
 
     return run
 

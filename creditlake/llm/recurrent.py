@@ -133,40 +133,43 @@ def backward(p: Parameters, previous, fresh, targets, state):
     g_hidden = np.zeros_like(hidden)
     g_hidden[live] = g_live
     # Gradients of the gates: of what the input gave and of what the state gave.
-    befores, updates, resets, candidates, inners = (np.stack(x) for x in zip(*steps))
-    by_update = (befores - candidates) * updates
+    befores, updates, resets, candidates, inners = steps
+    by_update = befores - candidates
+    by_update *= updates
     by_candidate = 1 - candidates * candidates
-    by_reset = inners * resets * (1 - resets)
+    by_reset = inners * resets
+    by_reset *= 1 - resets
     rests = 1 - updates
-    given = np.empty((*previous.shape, 3 * h), hidden.dtype)
+    # The input's share and the state's differ in the candidates alone.
+    gates = np.empty((*previous.shape, 2 * h), hidden.dtype)
+    given, own = np.empty_like(befores), np.empty_like(befores)
     carried = np.zeros_like(state)
     back_gates = np.ascontiguousarray(p["back"][:, : 2 * h].T)
     back_inner = np.ascontiguousarray(p["back"][:, 2 * h :].T)
-    restart = fresh.any(1)
+    restart = fresh.any(1).tolist()
     for t in range(len(targets) - 1, -1, -1):
         g = g_hidden[t]
         g += carried
-        rest = g * rests[t]
-        now = given[t]
-        candidate = now[:, 2 * h :]
-        np.multiply(rest, by_candidate[t], out=candidate)
+        rest, now = rests[t], gates[t]
+        rest *= g
+        candidate = np.multiply(rest, by_candidate[t], out=given[t])
         np.multiply(rest, by_update[t], out=now[:, :h])
-        np.multiply(candidate, by_reset[t], out=now[:, h : 2 * h])
-        carried = now[:, : 2 * h] @ back_gates
-        carried += (candidate * resets[t]) @ back_inner
+        np.multiply(candidate, by_reset[t], out=now[:, h:])
+        carried = now @ back_gates
+        carried += np.multiply(candidate, resets[t], out=own[t]) @ back_inner
         g *= updates[t]
         carried += g
         if restart[t]:
             carried *= ~fresh[t][:, None]
-    own = given.copy()
-    own[..., 2 * h :] *= resets
-    g_back = befores.reshape(-1, h).T @ own.reshape(-1, 3 * h)
+    g_back = befores.reshape(-1, h).T @ np.concatenate([gates, own], 2).reshape(-1, 3 * h)
     g_table = np.zeros_like(table)
     tokens = np.where(previous < 0, len(table) - 1, previous).ravel()
-    order = np.argsort(tokens, kind="stable")
+    order = _order(tokens, len(table))
     tokens = tokens[order]
     heads = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-    g_table[tokens[heads]] = np.add.reduceat(given.reshape(-1, 3 * h)[order], heads)
+    of_token = tokens[heads]
+    g_table[of_token, : 2 * h] = np.add.reduceat(gates.reshape(-1, 2 * h).take(order, 0), heads)
+    g_table[of_token, 2 * h :] = np.add.reduceat(given.reshape(-1, h).take(order, 0), heads)
     used = outputs
     used["bias"] = g_table.sum(0)
     used["input"] = p["embed"].T @ g_table
@@ -188,6 +191,11 @@ def _previous(ids, owner, at, n) -> tuple[np.ndarray, np.ndarray]:
     return np.where(fresh, -1, before), fresh
 
 
+def _order(keys, kinds) -> np.ndarray:
+    """The places of equal keys after each other; short keys are sorted by their digits."""
+    return np.argsort(keys.astype(np.uint16) if kinds <= 1 << 16 else keys, kind="stable")
+
+
 def _sigmoid(x):
     np.negative(x, out=x)
     np.exp(x, out=x)
@@ -196,33 +204,51 @@ def _sigmoid(x):
 
 
 def _forward(p, table, previous, fresh, state, keep):
-    h, back = HIDDEN, p["back"]
-    hidden = np.empty((len(previous), *state.shape), np.float32)
-    steps = []
-    for t in range(len(previous)):
-        if fresh[t].any():
+    h = HIDDEN
+    # Apart, so that all that is done by element is done on whole arrays.
+    tables, backs = ([np.ascontiguousarray(x[:, k * h : (k + 1) * h]) for k in range(3)] for x in (table, p["back"]))
+    hidden = np.empty((*previous.shape, h), np.float32)
+    steps = [np.empty_like(hidden) for _ in range(5)] if keep else []
+    tokens = np.where(previous < 0, len(table) - 1, previous)
+    restart = fresh.any(1).tolist()
+    for t, now in enumerate(tokens):
+        if restart[t]:
             state = state * ~fresh[t][:, None]
-        given, own = table[previous[t]], state @ back
-        gates = _sigmoid(given[:, : 2 * h] + own[:, : 2 * h])
-        update, reset, inner = gates[:, :h], gates[:, h:], own[:, 2 * h :]
-        candidate = np.tanh(given[:, 2 * h :] + reset * inner)
-        if keep:
-            steps.append((state, update, reset, candidate, inner))
-        state = candidate + update * (state - candidate)
-        hidden[t] = state
-    return hidden, state, steps
-
-
-def _exponentials(logits):
-    """Exponentials of the logits and their sums by row; large logits are moved, which is rarely needed."""
+        update, reset, candidate = (x.take(now, 0) for x in tables)
+        update += state @ backs[0]
+        reset += state @ backs[1]
+        inner = state @ backs[2]
+        update, reset = _sigmoid(update), _sigmoid(reset)
+        candidate += reset * inner
+        np.tanh(candidate, out=candidate)
+        for held, x in zip(steps, (state, update, reset, candidate, inner)):
+            held[t] = x
+        state = np.subtract(state, candidate, out=hidden[t])
+        state *= update
+        state += candidate
+    return hidden, state.copy(), steps
+
+
+def _exponentials(logits, cuts):
+    """Exponentials of the logits and their sums by row; large logits are moved, which is rarely needed.
+
+    Both are taken for the rows between two cuts together.
+    """
+    parts = [slice(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
     if len(logits) and logits.max() > 60:
-        logits -= logits.max(1, keepdims=True)
+        for rows in parts:
+            if logits[rows].max() > 60:
+                logits[rows] -= logits[rows].max(1, keepdims=True)
     e = np.exp(logits)
-    sums = e @ np.ones(e.shape[1], e.dtype)
+    sums, ones = np.empty(len(e), e.dtype), np.ones(e.shape[1], e.dtype)
+    for rows in parts:
+        np.matmul(e[rows], ones, out=sums[rows])
     if len(logits) and sums.min() < 1e-20:
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        sums = e.sum(1)
+        for rows in parts:
+            if sums[rows].min() < 1e-20:
+                logits[rows] -= logits[rows].max(1, keepdims=True)
+                e[rows] = np.exp(logits[rows])
+                sums[rows] = e[rows].sum(1)
     return e, sums
 
 
@@ -232,12 +258,13 @@ def _log_probability(p, hidden, targets, gradients=False):
     last = p["classes"].shape[1] - 1
     of = np.where(targets == outside, last, targets // WIDTH)
     # In the order of classes, so that each is a slice.
-    order = np.argsort(of, kind="stable")
+    order = _order(of, last + 1)
     of, within, hidden = of[order], (targets % WIDTH)[order], hidden[order]
     cuts = np.searchsorted(of, np.arange(last + 1)).tolist()
     at = np.arange(len(of))
-    logits = hidden @ p["classes"] + p["class_bias"]
-    e, sums = _exponentials(logits)
+    logits = hidden @ p["classes"]
+    logits += p["class_bias"]
+    e, sums = _exponentials(logits, [0, len(of)])
     # Rounding may lift a certain choice a little above probability 1.
     found = np.minimum(logits[at, of] - np.log(sums), 0)
     out, g_hidden = {}, None
@@ -247,20 +274,22 @@ def _log_probability(p, hidden, targets, gradients=False):
         out = {"classes": hidden.T @ e, "class_bias": e.sum(0)}
         out |= {"words": np.zeros_like(p["words"]), "word_bias": np.zeros_like(p["word_bias"])}
         g_hidden = e @ p["classes"].T
-    for c in range(last):
-        rows, own = slice(cuts[c], cuts[c + 1]), slice(c * WIDTH, (c + 1) * WIDTH)
-        if rows.start == rows.stop:
-            continue
-        here, picked = at[: rows.stop - rows.start], within[rows]
-        logits = hidden[rows] @ p["words"][own].T + p["word_bias"][own]
-        e, sums = _exponentials(logits)
-        found[rows] += np.minimum(logits[here, picked] - np.log(sums), 0)
-        if gradients:
-            e /= sums[:, None]
-            e[here, picked] -= 1
-            out["words"][own] += e.T @ hidden[rows]
-            out["word_bias"][own] += e.sum(0)
-            g_hidden[rows] += e @ p["words"][own]
+    inner = cuts[last]
+    at, within = at[:inner], within[:inner]
+    parts = [(slice(cuts[c], cuts[c + 1]), slice(c * WIDTH, (c + 1) * WIDTH)) for c in range(last) if cuts[c] < cuts[c + 1]]
+    logits = np.empty((inner, WIDTH), hidden.dtype)
+    for rows, own in parts:
+        np.matmul(hidden[rows], p["words"][own].T, out=logits[rows])
+        logits[rows] += p["word_bias"][own]
+    e, sums = _exponentials(logits, cuts)
+    found[:inner] += np.minimum(logits[at, within] - np.log(sums), 0)
+    if gradients:
+        e /= sums[:, None]
+        e[at, within] -= 1
+        for rows, own in parts:
+            out["words"][own] = e[rows].T @ hidden[rows]
+            out["word_bias"][own] = e[rows].sum(0)
+            g_hidden[rows] += e[rows] @ p["words"][own]
     scores = np.empty(len(found))
     scores[order] = found
     if gradients:

@@ -1,9 +1,14 @@
 """What the operators must not lose: the end token, other texts of an id, fitted patterns, streamed bytes, long texts."""
 
 import random
+import time
+from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -89,3 +94,76 @@ def test_a_frequent_label_is_sampled_in_full(spark, monkeypatch):
     rows = spark.range(30_000).selectExpr("id AS doc_id", "concat('word', id) AS text", "IF(id % 50 = 0, 'b', 'a') AS lang")
     chosen = language.sample(rows.union(rows.filter("doc_id < 100")), F.lit(True))
     assert sorted(label for _, label in chosen) == ["a"] * 20 + ["b"] * 20
+
+
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def plain_tokens(text):
+    return [w.decode() for w in (text or "").encode().lower().split()]
+
+
+def test_reading_training_texts_costs_less_than_plain_lookups(monkeypatch):
+    """The CPU time of a training task but for the model's own, against one split and one dictionary lookup per word."""
+    texts = [prose(k % 50, 400) + f" Rare{k} word{k % 7}" for k in range(1_500)]
+    head = [lm_scoring.END.encode(), *sorted({w.encode() for t in texts[:900] for w in plain_tokens(t)})]
+    lexicon, seen = Shared((head, np.ones(len(head), np.int64))), []
+
+    class Idle:
+        tokens = 0
+
+        def __init__(self, parameters):
+            pass
+
+        def learn(self, documents):
+            seen.extend(documents)
+
+    monkeypatch.setattr(lm_scoring.recurrent, "Trainer", Idle)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 500])], ["text"]) for k in range(0, len(texts), 500)]
+    places = {w: i for i, w in enumerate(head)}
+
+    def new():
+        seen.clear()
+        list(lm_scoring._copies(lexicon, Shared({"embed": np.zeros((1_025, 1))}))(iter(batches)))
+
+    def plain():
+        for batch in batches:
+            for text in batch.column(0):
+                found = text.as_py().encode().lower().split()
+                np.fromiter(map(places.get, found, repeat(-1)), np.int32, len(found))
+
+    def seconds(function):
+        begun = time.process_time()
+        function()
+        return time.process_time() - begun
+
+    lm_scoring._ranks.cache_clear()
+    new()
+    want = [[*(min(places.get(w.encode(), 1_024), 1_024) for w in plain_tokens(t)), 0] for t in texts]
+    assert [s.tolist() for s in seen] == want
+    assert min(seconds(new) for _ in range(5)) < 0.8 * min(seconds(plain) for _ in range(5))
+    lm_scoring._ranks.cache_clear()
+
+
+@pytest.mark.parametrize("split", [1, 50, 8 << 20])
+def test_words_and_their_ranks_as_in_plain_python(odd_rows, monkeypatch, split):
+    monkeypatch.setattr(lm_scoring, "SPLIT", split)
+    texts = [t for _, t in odd_rows] + ["".join(map(chr, range(1, 300))), " A\x0bb\x1cC É  ", "\r\n", None, "zz zz  ZZ y"]
+    head = [lm_scoring.END, *sorted({w for t in texts[:30] for w in plain_tokens(t)})]
+    ids, rare = [], []
+    # Not from its first row, as slices of a batch are.
+    for found, starts in lm_scoring.words(pa.array(["before", *texts]).slice(1)):
+        ranks, bounds = lm_scoring._encoded(pa.array(head), found, starts)
+        ids += [part.tolist() for part in np.split(ranks, bounds[1:-1])]
+        rare += lm_scoring._beyond(ranks, bounds, found).to_pylist()
+    assert ids == [[*(head.index(w) if w in head else -1 for w in plain_tokens(t)), 0] for t in texts]
+    assert [Counter({r["word"]: r["n"] for r in x}) for x in rare] == [Counter(w for w in plain_tokens(t) if w not in head) for t in texts]
+
+
+def test_words_are_counted_over_many_small_parts(spark, odd, odd_rows, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SPLIT", 64)
+    monkeypatch.setattr(lm_scoring, "COUNTED", 500)
+    want = Counter(w for _, t in odd_rows for w in [*plain_tokens(t), lm_scoring.END])
+    assert {r["word"]: r["c"] for r in lm_scoring.token_counts(odd).collect()} == want

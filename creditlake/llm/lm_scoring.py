@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditlake.llm import recurrent
+from creditlake.llm.common import give_back
 from creditlake.staging import stage
 
 HEAD = 131_072
@@ -89,6 +90,8 @@ def token_counts(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
         if held:
             yield _counted(held)
+            del held, found
+            give_back()
         if ends:
             yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([ends], pa.int64())], ["word", "c"])
 
@@ -273,8 +276,10 @@ def _scorer(lexicon, model):
 
         def scored(held):
             nonlocal number
+            give_back()
             texts = [text for _, ids, bounds, _ in held for text in np.split(_for_model(ids, size), bounds[1:-1])]
             found = recurrent.score(p, texts) / np.log(10)
+            del texts
             for rows, ids, bounds, rare in held:
                 heads = bounds[:-1]
                 outside = (ids < 0) | (ids >= size)

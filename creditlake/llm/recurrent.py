@@ -82,7 +82,8 @@ def streams(documents: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndar
         tokens = np.concatenate([documents[k] for k in held])
         ids[lane, : len(tokens)] = tokens
         owner[lane, : len(tokens)] = np.repeat(held, sizes[held])
-    return np.ascontiguousarray(ids.T), np.ascontiguousarray(owner.T)
+    ids = np.ascontiguousarray(ids.T)
+    return ids, np.ascontiguousarray(owner.T)
 
 
 def score(p: Parameters, documents: list[np.ndarray], n: int = STREAMS, window: int = 64) -> np.ndarray:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.queries import _built
 from creditlake import Layer, staging
 from creditlake.operators import quality as Q
+from creditlake.operators.dimensions import add_key, attach_key, create_dimension
 from creditlake.plans.pipeline import build_marts, build_silver
 
 
@@ -88,3 +89,30 @@ def test_the_csv_files_of_a_build_go_when_they_are_loaded(spark, sf_dir):
     folder = staging.staging_folder(spark)
     assert not glob.glob(f"{folder}/**/*.csv*", recursive=True)
     assert all(os.path.isdir(layers[n].path) for n in ("bronze", "silver", "gold"))
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+@pytest.mark.parametrize("counted", [True, False])
+def test_a_wide_natural_key_does_not_travel(stored, null_safe, counted):
+    """Rows and dimension meet by two hashes, with the same keys as a broadcast finds."""
+    columns = ["a", "b", "c"]
+    df = stored.withColumn("v", F.xxhash64("s"))
+    d = create_dimension(df, columns, "k", small=-1)
+    found, plain = (attach_key(df, d, null_safe, limit, counted).select("v", "k") for limit in (-1, 1 << 40))
+    assert rows(found) == rows(plain) and found.count() == 6000
+    assert not null_safe or found.filter("k IS NULL").isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().apply(0)
+    sides = [plan.children().apply(i).output().mkString(",") for i in (0, 1)]
+    assert all("h1" in side and not any(f"{c}#" in side.split(",") or f",{c}#" in side for c in columns) for side in sides)
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_unique_wide_keys_and_other_types(spark, stored, null_safe):
+    once = Q.dedup(stored)
+    d = add_key(once.withColumn("n", F.xxhash64(*once.columns)), "k", ["n"], ["a", "c", "s"], small=-1)
+    assert d.frequent is None
+    for df in (stored, stored.withColumn("a", F.col("a").cast("bigint"))):
+        found, plain = (attach_key(df, d, null_safe, limit, True) for limit in (-1, 1 << 40))
+        assert rows(found) == rows(plain)
